@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from tidemark.plans.watermark import Watermark, latest_process_date
 from tidemark.sources.catalog import GOLD_TABLES
 from tidemark.sources.landing import read_landing
 from tidemark.sources.schemas import DATASETS
-from tidemark.sources.tables import TableMissing, TableStore
+from tidemark.sources.tables import TableStore
 
 log = logging.getLogger(__name__)
 
@@ -44,6 +45,10 @@ class Summary:
     def succeeded(self) -> bool:
         return not self.failed
 
+    def add(self, other: Summary) -> None:
+        self.done.update(other.done)
+        self.failed.update(other.failed)
+
 
 # ------------------------------------------------------------------- bronze
 
@@ -80,6 +85,10 @@ def read_silver(store: TableStore) -> dict[str, DataFrame]:
     return {name: store.read("silver", name) for name in DATASETS}
 
 
+def _silver(store: TableStore, feeds: tuple[tuple[str, str], ...]) -> dict[str, DataFrame]:
+    return {name: store.read("silver", name) for name, _ in feeds}
+
+
 # --------------------------------------------------------------------- gold
 
 
@@ -135,38 +144,46 @@ def _by_month(rows: DataFrame, table: str) -> tuple[DataFrame, str | None]:
 
 
 def build_gold(
-    store: TableStore, table: str, process_date: str, process_ts: str, mode: str = "incremental"
+    store: TableStore,
+    table: str,
+    process_date: str,
+    process_ts: str,
+    mode: str = "incremental",
+    plan: Gate | None = None,
 ) -> str:
-    """Build or update one gold table; returns full, incremental or skip."""
+    """Build or update one gold table; returns full, incremental or skip.
+
+    ``plan`` is the gate's answer if the caller asked already; all tables of a run share it.
+    """
     check_gold_arguments(table, mode)
     if table == WATERMARK_STEP:
         return "full" if advance_watermark(store, process_ts) else "skip"
-    plan = gate(store, mode)
+    plan = plan or gate(store, mode)
     if plan.action == "skip":
         return "skip"
-    silver = read_silver(store)
     existing = store.read_if_exists("gold", table)
-
     if table in gold.KEY_DIMENSIONS:
+        silver = _silver(store, gold.KEY_DIMENSIONS[table].feeds)
         store.overwrite("gold", table, gold.key_dimension(silver, table, existing))
     elif table == "dim_date":
+        silver = _silver(store, gold.CALENDAR_FEEDS)
         store.overwrite("gold", table, gold.dim_date(store.spark, silver))
     elif table == "dim_customers":
-        rows = gold.dim_customers(silver["customers"], process_date, process_ts, existing)
+        customers = store.read("silver", "customers")
+        rows = gold.dim_customers(customers, process_date, process_ts, existing)
         store.overwrite("gold", table, rows)
     elif table == "dim_products":
-        category = store.read("gold", "dim_category")
-        rows = gold.dim_products(silver["products"], category, process_ts, existing)
-        store.overwrite("gold", table, rows)
+        products, category = store.read("silver", "products"), store.read("gold", "dim_category")
+        store.overwrite("gold", table, gold.dim_products(products, category, process_ts, existing))
     else:
         # A fact that is missing is built whole even when a watermark exists.
         in_full = plan.action == "full" or existing is None or gold.FACTS[table].source is None
-        return _build_fact(store, table, silver, None if in_full else plan.since)
+        return _build_fact(store, table, None if in_full else plan.since)
     return "full"
 
 
-def _build_fact(store: TableStore, table: str, silver: gold.Frames, since: str | None) -> str:
-    fact, dims = gold.FACTS[table], _dims(store)
+def _build_fact(store: TableStore, table: str, since: str | None) -> str:
+    fact, silver, dims = gold.FACTS[table], read_silver(store), _dims(store)
     hidden = [name for name in fact.business if name not in fact.columns]
     if since is None:
         rows = gold.fact_rows(table, silver, dims)
@@ -181,28 +198,56 @@ def _build_fact(store: TableStore, table: str, silver: gold.Frames, since: str |
 
 # ------------------------------------------------------------------- layers
 
-
-def run_all(items: dict[str, Callable[[], object]]) -> Summary:
-    """Run every item in order; a failed item does not stop the rest."""
-    summary = Summary()
-    for name, step in items.items():
+# Independent items of a layer run side by side from this many threads, so that small
+# tables do not leave the cluster idle while a large one is being written.
+SIDE_BY_SIDE = 6
+
+# Gold tables in dependency order; those of one group do not read each other.
+GOLD_GROUPS = (
+    ("dim_country", "dim_source", "dim_device", "dim_payment_method", "dim_date", "dim_category"),
+    ("dim_customers", "dim_products"),
+    (
+        "fact_order",
+        "fact_order_item",
+        "fact_web_events",
+        "fact_review",
+        "fact_session",
+        "fact_customer_funnel",
+    ),
+)
+
+
+def run_all(items: dict[str, Callable[[], object]], side_by_side: int = SIDE_BY_SIDE) -> Summary:
+    """Run independent items; a failed item does not stop the rest."""
+
+    def attempt(name: str) -> tuple[bool, str]:
         try:
-            outcome = step()
-            summary.done[name] = outcome if isinstance(outcome, str) else "ok"
+            outcome = items[name]()
+            return True, outcome if isinstance(outcome, str) else "ok"
         except Exception as error:  # noqa: BLE001 - reported in the summary
             log.exception("%s failed", name)
-            summary.failed[name] = f"{type(error).__name__}: {error}"
+            return False, f"{type(error).__name__}: {error}"
+
+    summary = Summary()
+    with ThreadPoolExecutor(max_workers=max(1, side_by_side)) as pool:
+        for name, (succeeded, outcome) in zip(items, pool.map(attempt, items), strict=True):
+            (summary.done if succeeded else summary.failed)[name] = outcome
     return summary
 
 
 def run_bronze(
-    store: TableStore, landing: dict[str, str], ingest_date: str, ingested_at: str, **csv_options: str
+    store: TableStore,
+    landing: dict[str, str],
+    ingest_date: str,
+    ingested_at: str,
+    csv_options: dict[str, dict[str, str]] | None = None,
 ) -> Summary:
     """Load all declared datasets; ``landing`` maps a dataset to its CSV path."""
 
     def step(dataset: str) -> Callable[[], None]:
+        options = (csv_options or {}).get(dataset, {})
         return lambda: load_bronze(
-            store, dataset, landing[dataset], ingest_date, ingested_at, **csv_options
+            store, dataset, landing[dataset], ingest_date, ingested_at, **options
         )
 
     return run_all({dataset: step(dataset) for dataset in DATASETS})
@@ -219,31 +264,33 @@ def run_gold(
     store: TableStore, process_date: str, process_ts: str, mode: str = "incremental"
 ) -> Summary:
     """Build all gold tables in dependency order, then move the watermark if all succeeded."""
+    plan = gate(store, mode)
 
     def step(table: str) -> Callable[[], str]:
-        return lambda: build_gold(store, table, process_date, process_ts, mode)
+        return lambda: build_gold(store, table, process_date, process_ts, mode, plan)
 
-    summary = run_all({table: step(table) for table in GOLD_TABLES})
+    summary = Summary()
+    for group in GOLD_GROUPS:
+        summary.add(run_all({table: step(table) for table in group}))
     if summary.succeeded:
-        moved = run_all({WATERMARK_STEP: lambda: advance_watermark(store, process_ts) or "skip"})
-        summary.done.update(moved.done)
-        summary.failed.update(moved.failed)
+        summary.add(run_all({WATERMARK_STEP: lambda: advance_watermark(store, process_ts) or "skip"}))
     return summary
 
 
-__all__ = [
-    "Gate",
-    "Summary",
-    "TableMissing",
-    "advance_watermark",
-    "build_gold",
-    "check_gold_arguments",
-    "decide",
-    "gate",
-    "load_bronze",
-    "read_silver",
-    "refine_silver",
-    "run_bronze",
-    "run_gold",
-    "run_silver",
-]
+def run_layer(
+    store: TableStore,
+    layer: str,
+    process_date: str,
+    process_ts: str,
+    *,
+    landing: dict[str, str] | None = None,
+    mode: str = "incremental",
+) -> Summary:
+    """Run one layer by name; bronze needs ``landing`` paths."""
+    if layer == "bronze":
+        return run_bronze(store, landing or {}, process_date, process_ts)
+    if layer == "silver":
+        return run_silver(store, process_date, process_ts)
+    if layer == "gold":
+        return run_gold(store, process_date, process_ts, mode)
+    raise ValueError("layer must be one of: bronze, gold, silver")

@@ -57,8 +57,15 @@ class Stage:
             self.store.overwrite("silver", dataset, rows, "silver_process_date")
         return self.store.read("silver", dataset)
 
+    def several(self, *datasets: str) -> dict[str, DataFrame]:
+        """Silver tables by name; those not stored yet are written side by side."""
+        outcome = runs.run_all({name: lambda name=name: self.silver(name) for name in datasets})
+        if not outcome.succeeded:
+            raise RuntimeError(str(outcome.failed))
+        return {name: self.silver(name) for name in datasets}
+
     def all_silver(self) -> dict[str, DataFrame]:
-        return {name: self.silver(name) for name in DATASETS}
+        return self.several(*DATASETS)
 
     def valid(self, dataset: str) -> DataFrame:
         return gold.valid_rows(self.silver(dataset))
@@ -70,21 +77,26 @@ class Stage:
 
     def build_dimension(self, table: str) -> DataFrame:
         if table in gold.KEY_DIMENSIONS:
-            feeds = {name for name, _ in gold.KEY_DIMENSIONS[table].feeds}
-            return gold.key_dimension({name: self.silver(name) for name in feeds}, table)
+            feeds = [name for name, _ in gold.KEY_DIMENSIONS[table].feeds]
+            return gold.key_dimension(self.several(*feeds), table)
         if table == "dim_date":
-            feeds = {name for name, _ in gold.CALENDAR_FEEDS}
-            return gold.dim_date(self.spark, {name: self.silver(name) for name in feeds})
+            feeds = [name for name, _ in gold.CALENDAR_FEEDS]
+            return gold.dim_date(self.spark, self.several(*feeds))
         if table == "dim_customers":
             return gold.dim_customers(self.silver("customers"), FIRST_DATE, FIRST_TS)
         return gold.dim_products(self.silver("products"), self.dimension("dim_category"), FIRST_TS)
 
     def dims(self) -> dict[str, DataFrame]:
-        names = (*gold.KEY_DIMENSIONS, "dim_date", "dim_customers", "dim_products")
+        for group in runs.GOLD_GROUPS[:2]:
+            outcome = runs.run_all({name: lambda name=name: self.dimension(name) for name in group})
+            if not outcome.succeeded:
+                raise RuntimeError(str(outcome.failed))
+        names = (*runs.GOLD_GROUPS[0], *runs.GOLD_GROUPS[1])
         return {name: self.dimension(name) for name in names}
 
     def fact(self, table: str) -> DataFrame:
-        return gold.keyed(gold.fact_rows(table, self.all_silver(), self.dims()), table)
+        silver = self.all_silver()
+        return gold.keyed(gold.fact_rows(table, silver, self.dims()), table)
 
 
 class TwoDeliveries:
@@ -94,20 +106,17 @@ class TwoDeliveries:
         folder = fresh_folder(spark, "deliveries")
         self.store = TableStore(spark, f"{folder}/tables")
         for number, day, stamp in ((1, FIRST_DATE, FIRST_TS), (2, SECOND_DATE, SECOND_TS)):
-            landing = {
-                name: write_landing(raw(spark, sf_dir, name, number), f"{folder}/landing/{day}/{name}.csv")
-                for name in DATASETS
-            }
-            loads = runs.run_all(
+            landing = {name: f"{folder}/landing/{day}/{name}.csv" for name in DATASETS}
+            written = runs.run_all(
                 {
-                    name: lambda name=name: runs.load_bronze(
-                        self.store, name, landing[name], day, stamp, **csv_options(name)
-                    )
+                    name: lambda name=name: write_landing(raw(spark, sf_dir, name, number), landing[name])
                     for name in DATASETS
                 }
             )
+            options = {name: csv_options(name) for name in DATASETS}
             for summary in (
-                loads,
+                written,
+                runs.run_bronze(self.store, landing, day, stamp, options),
                 runs.run_silver(self.store, day, stamp),
                 runs.run_gold(self.store, day, stamp, "incremental"),
             ):
