@@ -533,6 +533,11 @@ RELATIONS["funnel_rows"] = f"""SELECT c.customer_key, p.product_key, {_keys}
 RELATIONS["f_customer_funnel"] = numbered("SELECT * FROM funnel_rows", "funnel_key", ["customer_key", "product_key"])
 
 # Small stand-alone inputs of single queries.
+# A CSV scan reads an empty cell, quoted or not, as NULL.
+for _ds in COLUMNS:
+    _texts = {"orders": ["payment_method"]}.get(_ds, [])
+    _empty = ", ".join(f"nullif({c}, '') AS {c}" for c in _texts)
+    RELATIONS[f"landed_{_ds}"] = f"SELECT *{f' REPLACE ({_empty})' if _empty else ''} FROM raw_{_ds}"
 RELATIONS["all_names"] = "SELECT name FROM raw_customers"
 RELATIONS["names1"] = static_dim("SELECT name FROM raw1_customers", "name", "name_key")
 RELATIONS["order_totals1"] = numbered(

@@ -52,7 +52,7 @@ def scratch(spark: SparkSession) -> TableStore:
 # ------------------------------------------------------------------- sources
 
 
-@query("scan_csv_declared", "SELECT * FROM raw_orders")
+@query("scan_csv_declared", "SELECT * FROM landed_orders")
 def scan_csv_declared(spark: SparkSession, sf: str) -> DataFrame:
     path = write_landing(raw(spark, sf, "orders"), fresh_folder(spark, "orders.csv"))
     return read_landing(spark, path, "orders", strict_header=True, **csv_options("orders"))
@@ -131,7 +131,7 @@ def sql_on_files(spark: SparkSession, sf: str) -> DataFrame:
 def _register_layers(dataset: str) -> None:
     key = ", ".join(DATASETS[dataset].key)
 
-    @query(f"bronze_{dataset}", sql.bronze(dataset, "raw", FIRST_DATE, FIRST_TS, f"{dataset}.csv"))
+    @query(f"bronze_{dataset}", sql.bronze(dataset, "landed", FIRST_DATE, FIRST_TS, f"{dataset}.csv"))
     def from_landing(spark: SparkSession, sf: str) -> DataFrame:
         folder = f"{fresh_folder(spark, 'landing')}/{dataset}.csv"
         path = write_landing(raw(spark, sf, dataset), folder)
