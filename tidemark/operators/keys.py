@@ -33,32 +33,37 @@ def with_record_id(df: DataFrame, dataset: str) -> DataFrame:
     return df.withColumns({"record_id": record_id, "record_id_source": F.lit(origin)})
 
 
-def key_slot(columns: Sequence[str], slots: int = KEY_SLOTS) -> Column:
+def key_slot(columns: Sequence[str]) -> Column:
     """Slot of a natural key: a function of its value only, evenly spread whatever the key looks like."""
     digest = F.md5(F.concat_ws("|", *[F.col(name).cast("string") for name in columns]).cast("binary"))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % slots
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % KEY_SLOTS
 
 
-def surrogate(order_cols: Sequence[str], start_at: Column | int = 0, within: Sequence[Column] = ()) -> Column:
-    """Surrogate key column for rows identified by ``order_cols``.
+def numbered(
+    df: DataFrame, key_col: str, order_cols: Sequence[str], start_at: Column | int = 0, apart: Sequence[str] = ()
+) -> DataFrame:
+    """Add surrogate key ``key_col`` to rows identified by ``order_cols``.
 
     Rows are dealt to slots by a hash of their natural key and numbered inside the slot;
     key = start + (number - 1) * slots + slot + 1. Distinct rows get distinct keys, and the
     same rows get the same keys however the data is partitioned. It takes one evenly spread
     exchange: no global sort, no counting pass, no value carried through the driver.
+    Groups of rows that differ in ``apart`` are numbered independently of each other.
     """
-    slot = key_slot(order_cols)
     order = [F.asc_nulls_first(name) for name in order_cols]
-    number = F.row_number().over(Window.partitionBy(*within, slot).orderBy(*order)).cast("bigint")
+    place = F.row_number().over(Window.partitionBy(*apart, "_slot").orderBy(*order))
     start = start_at if isinstance(start_at, Column) else F.lit(start_at).cast("bigint")
-    return start + (number - 1) * KEY_SLOTS + slot + 1
+    key = start + (F.col("_place").cast("bigint") - 1) * KEY_SLOTS + F.col("_slot") + 1
+    placed = df.withColumn("_slot", key_slot(order_cols)).withColumn("_place", place)
+    return placed.withColumn(key_col, key).drop("_slot", "_place")
 
 
 def assign_surrogate_key(
     df: DataFrame, key_col: str, order_cols: Sequence[str], start_at: Column | int = 0
 ) -> DataFrame:
     """Put a surrogate key in front of the columns of ``df``; every key is above ``start_at``."""
-    return df.select(surrogate(order_cols, start_at).alias(key_col), *[c for c in df.columns if c != key_col])
+    others = [name for name in df.columns if name != key_col]
+    return numbered(df.select(*others), key_col, order_cols, start_at).select(key_col, *others)
 
 
 def largest_key(df: DataFrame, key_col: str) -> DataFrame:

@@ -7,17 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.keys import largest_key, surrogate
+from tidemark.operators.keys import largest_key, numbered
 
 
-def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], matched_on: DataFrame | None = None
+) -> DataFrame:
     """Upsert: matched rows take the source's columns, unmatched source rows are added.
 
     Keys match by SQL equality, so a NULL key matches nothing. Columns only the source has
     are added to the table; columns only the target has keep their value on a match.
+    ``matched_on`` may supply the source's keys from a cheaper frame than the source itself.
     """
     keys = list(keys)
-    kept = target.join(source.select(*keys), keys, "left_anti")
+    kept = target.join((source if matched_on is None else matched_on).select(*keys), keys, "left_anti")
     target_only = [name for name in target.columns if name not in source.columns]
     if target_only:
         source = source.join(target.select(*keys, *target_only), keys, "left")
@@ -37,19 +40,27 @@ def keep_surrogates(
 ) -> DataFrame:
     """``incoming`` with the target's surrogate key where the business key is known, a new one otherwise.
 
-    New keys lie above the largest key in the target. One pass over ``incoming``.
+    New keys lie above the largest key in the target. Of the target only the keys are read,
+    and only those that occur in ``incoming`` are grouped.
     """
     keys = list(keys)
-    known = target.groupBy(*keys).agg(F.min(surrogate_col).alias("_known"))
-    rows = incoming.drop(surrogate_col).join(known, keys, "left")
-    is_new = F.col("_known").isNull()
-    fresh = surrogate(keys, largest_key(target, surrogate_col).scalar(), within=[is_new])
+    known = (
+        target.select(*keys, surrogate_col)
+        .join(incoming.select(*keys), keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.min(surrogate_col).alias("_known"))
+    )
     columns = [name for name in incoming.columns if name != surrogate_col]
-    return rows.select(F.coalesce("_known", fresh).alias(surrogate_col), *columns)
+    rows = incoming.select(*columns).join(known, keys, "left")
+    rows = rows.withColumn("_is_new", F.col("_known").isNull())
+    start = largest_key(target, surrogate_col).scalar()
+    rows = numbered(rows, "_fresh", keys, start, apart=["_is_new"])
+    return rows.select(F.coalesce("_known", "_fresh").alias(surrogate_col), *columns)
 
 
 def merge_keep_surrogate(
     target: DataFrame, incoming: DataFrame, keys: Sequence[str], surrogate_col: str
 ) -> DataFrame:
     """Upsert that never renumbers a row already in the target."""
-    return merge_rows(target, keep_surrogates(target, incoming, keys, surrogate_col), keys)
+    source = keep_surrogates(target, incoming, keys, surrogate_col)
+    return merge_rows(target, source, keys, matched_on=incoming)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import gold
 from tidemark.plans.bronze import to_bronze
 from tidemark.plans.silver import RECIPES, clean
-from tidemark.plans.watermark import Watermark, latest_process_date
+from tidemark.plans.watermark import PIPELINE_NAME, Watermark, latest_process_date
 from tidemark.sources.catalog import GOLD_TABLES
 from tidemark.sources.landing import read_landing
 from tidemark.sources.schemas import DATASETS
@@ -111,22 +111,33 @@ def decide(mode: str, latest: str | None, mark: str | None) -> Gate:
     return Gate("incremental", mark) if latest > mark else Gate("skip")
 
 
-def gate(store: TableStore, mode: str) -> Gate:
+def gate(store: TableStore, mode: str, dataset: str | None = None) -> Gate:
+    """Ask the gate for all datasets together or, with marks kept per dataset, for one of them."""
     if mode == "full":
         return Gate("full")
-    return decide(mode, _latest(store), Watermark(store).get())
+    return decide(mode, _latest(store, dataset), Watermark(store, _mark_name(dataset)).get())
 
 
-def _latest(store: TableStore) -> str | None:
-    present = {name: store.read_if_exists("silver", name) for name in DATASETS}
+def _mark_name(dataset: str | None) -> str:
+    return PIPELINE_NAME if dataset is None else f"{PIPELINE_NAME}.{dataset}"
+
+
+def _latest(store: TableStore, dataset: str | None = None) -> str | None:
+    names = DATASETS if dataset is None else [dataset]
+    present = {name: store.read_if_exists("silver", name) for name in names}
     present = {name: frame for name, frame in present.items() if frame is not None}
     return latest_process_date(present).first()[0] if present else None
 
 
-def advance_watermark(store: TableStore, process_ts: str) -> str | None:
+def advance_watermark(store: TableStore, process_ts: str, per_dataset: bool = False) -> str | None:
+    """Set the mark, and with ``per_dataset`` also that of every dataset, to the latest process date."""
     latest = _latest(store)
     if latest is not None:
-        Watermark(store).set(latest, process_ts)
+        marks = {PIPELINE_NAME: latest}
+        if per_dataset:
+            by_dataset = {name: _latest(store, name) for name in DATASETS}
+            marks |= {_mark_name(name): day for name, day in by_dataset.items() if day is not None}
+        Watermark(store).set(marks, process_ts)
     return latest
 
 
@@ -261,19 +272,33 @@ def run_silver(store: TableStore, process_date: str, processed_at: str) -> Summa
 
 
 def run_gold(
-    store: TableStore, process_date: str, process_ts: str, mode: str = "incremental"
+    store: TableStore,
+    process_date: str,
+    process_ts: str,
+    mode: str = "incremental",
+    per_dataset: bool = False,
 ) -> Summary:
-    """Build all gold tables in dependency order, then move the watermark if all succeeded."""
-    plan = gate(store, mode)
+    """Build all gold tables in dependency order, then move the watermark if all succeeded.
+
+    With ``per_dataset`` each incremental fact follows the mark of its own source, so a dataset
+    that arrives late with an older date is still picked up.
+    """
+    marks = {name: gate(store, mode, name) for name in DATASETS} if per_dataset else {}
+    overall = gate(store, mode)
+    if any(plan.action != "skip" for plan in marks.values()) and overall.action == "skip":
+        overall = Gate("incremental", Watermark(store).get())
 
     def step(table: str) -> Callable[[], str]:
+        source = gold.FACTS[table].source if table in gold.FACTS else None
+        plan = marks.get(source, overall)
         return lambda: build_gold(store, table, process_date, process_ts, mode, plan)
 
     summary = Summary()
     for group in GOLD_GROUPS:
         summary.add(run_all({table: step(table) for table in group}))
     if summary.succeeded:
-        summary.add(run_all({WATERMARK_STEP: lambda: advance_watermark(store, process_ts) or "skip"}))
+        moved = lambda: advance_watermark(store, process_ts, per_dataset) or "skip"
+        summary.add(run_all({WATERMARK_STEP: moved}))
     return summary
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.upsert import merge_rows
@@ -46,16 +46,12 @@ def read_mark(marks: DataFrame, pipeline_name: str = PIPELINE_NAME) -> DataFrame
     )
 
 
-def with_mark(
-    marks: DataFrame, spark: SparkSession, process_date: str, updated_at: str, name: str = PIPELINE_NAME
-) -> DataFrame:
-    """``marks`` after setting one pipeline's mark."""
-    row = spark.range(1).select(
-        F.lit(name).alias("pipeline_name"),
-        F.lit(process_date).alias("last_process_date"),
-        F.lit(updated_at).cast("timestamp").alias("updated_at"),
-    )
-    return merge_rows(marks, row, ["pipeline_name"])
+def with_marks(marks: DataFrame, days: dict[str, str], updated_at: str) -> DataFrame:
+    """``marks`` after setting the mark of each pipeline named in ``days``."""
+    rows = marks.sparkSession.createDataFrame(
+        [(name, day) for name, day in days.items()], "pipeline_name STRING, last_process_date STRING"
+    ).withColumn("updated_at", F.lit(updated_at).cast("timestamp"))
+    return merge_rows(marks, rows, ["pipeline_name"])
 
 
 class Watermark:
@@ -71,6 +67,6 @@ class Watermark:
     def get(self) -> str | None:
         return read_mark(self.marks(), self.name).first()[0]
 
-    def set(self, process_date: str, updated_at: str) -> None:
-        marks = with_mark(self.marks(), self.store.spark, process_date, updated_at, self.name)
-        self.store.overwrite("gold", TABLE, marks)
+    def set(self, days: dict[str, str], updated_at: str) -> None:
+        """Set several marks in one step."""
+        self.store.overwrite("gold", TABLE, with_marks(self.marks(), days, updated_at))

@@ -53,14 +53,13 @@ def save_to_catalog(store: TableStore, table: str, database: str = "gold") -> st
 
     It is dropped and created anew, so that it points at the current version.
     """
-    rows = store.read("gold", table)
-    files = sorted({name.rsplit("/", 1)[0] for name in rows.inputFiles()})
-    if len(files) != 1:
-        raise ValueError(f"gold.{table} is spread over {len(files)} directories; use register_gold")
+    rows, folders = store.read("gold", table), store.folders("gold", table)
+    if len(folders) != 1:
+        raise ValueError(f"gold.{table} is spread over {len(folders)} directories; use register_gold")
     spark = store.spark
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-    spark.catalog.createTable(f"{database}.{table}", path=files[0], source="parquet", schema=rows.schema)
+    spark.catalog.createTable(f"{database}.{table}", path=folders[0], source="parquet", schema=rows.schema)
     spark.catalog.refreshTable(f"{database}.{table}")
     return f"{database}.{table}"
 

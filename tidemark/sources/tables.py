@@ -121,6 +121,11 @@ class TableStore:
         head = self._head(layer, name)
         return None if head is None else self._content(layer, name, head)
 
+    def folders(self, layer: str, name: str) -> list[str]:
+        """Directories that make up the present content."""
+        head = self._head(layer, name)
+        return [] if head is None else [f"{self.path(layer, name)}/{part}" for part in head.parts.values()]
+
     def _content(self, layer: str, name: str, head: Head) -> DataFrame:
         root = self.path(layer, name)
         folders = [f"{root}/{part}" for part in head.parts.values()]
@@ -157,23 +162,24 @@ class TableStore:
         version = head.version + 1
         target = self._content(layer, name, head)
         staging = f"{self.base}/_staging/{layer}.{name}.{version}"
-        if surrogate_col:
-            rows = keep_surrogates(target, rows, keys, surrogate_col)
         rows.write.mode("overwrite").parquet(staging)
-        delta = self.spark.read.parquet(staging)
+        delta = self.spark.read.schema(rows.schema).parquet(staging)
 
         if not ambiguous_keys(target, delta, keys).isEmpty():
             raise AmbiguousMerge(f"{layer}.{name}: several rows with one key on ({', '.join(keys)})")
 
+        incoming = keep_surrogates(target, delta, keys, surrogate_col) if surrogate_col else delta
         by = head.partition_by
         if by is None:
-            self._publish(layer, name, self._write(layer, name, version, merge_rows(target, delta, keys), None))
+            merged = merge_rows(target, incoming, keys, matched_on=delta)
+            self._publish(layer, name, self._write(layer, name, version, merged, None))
         else:
             hit = target.join(delta.select(*keys), list(keys), "left_semi").select(by)
             # One value per partition of the table: as many as the head file lists, at most.
             touched = [row[0] for row in hit.union(delta.select(by)).distinct().collect()]
             stale = target.where(F.col(by).isin(touched))
-            done = self._write(layer, name, version, merge_rows(stale, delta, keys), by)
+            merged = merge_rows(stale, incoming, keys, matched_on=delta)
+            done = self._write(layer, name, version, merged, by)
             untouched = {k: v for k, v in head.parts.items() if k not in {str(value) for value in touched}}
             self._publish(layer, name, Head(version, done.schema, by, {**untouched, **done.parts}))
         self._files.delete(staging)
