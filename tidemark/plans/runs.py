@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 from tidemark.plans import gold
 from tidemark.plans.bronze import to_bronze
 from tidemark.plans.silver import RECIPES, clean
-from tidemark.plans.watermark import PIPELINE_NAME, Watermark, latest_process_date
+from tidemark.plans.watermark import (
+    PIPELINE_NAME,
+    Watermark,
+    latest_process_date,
+    latest_process_dates,
+)
 from tidemark.sources.catalog import GOLD_TABLES
 from tidemark.sources.landing import read_landing
 from tidemark.sources.schemas import DATASETS
@@ -111,33 +116,50 @@ def decide(mode: str, latest: str | None, mark: str | None) -> Gate:
     return Gate("incremental", mark) if latest > mark else Gate("skip")
 
 
-def gate(store: TableStore, mode: str, dataset: str | None = None) -> Gate:
-    """Ask the gate for all datasets together or, with marks kept per dataset, for one of them."""
+def gate(store: TableStore, mode: str) -> Gate:
+    """What a run over all datasets together has to do."""
     if mode == "full":
         return Gate("full")
-    return decide(mode, _latest(store, dataset), Watermark(store, _mark_name(dataset)).get())
+    return decide(mode, _latest(store), Watermark(store).get())
+
+
+def gates(store: TableStore, mode: str) -> dict[str, Gate]:
+    """The gate of each dataset, with one mark per dataset."""
+    if mode == "full":
+        return {name: Gate("full") for name in DATASETS}
+    latest, marks = _latest_by_dataset(store), Watermark(store).get_all()
+    return {name: decide(mode, latest.get(name), marks.get(_mark_name(name))) for name in DATASETS}
+
+
+def _mark_name(dataset: str) -> str:
+    return f"{PIPELINE_NAME}.{dataset}"
+
+
+def _present_silver(store: TableStore) -> dict[str, DataFrame]:
+    frames = {name: store.read_if_exists("silver", name) for name in DATASETS}
+    return {name: frame for name, frame in frames.items() if frame is not None}
 
 
-def _mark_name(dataset: str | None) -> str:
-    return PIPELINE_NAME if dataset is None else f"{PIPELINE_NAME}.{dataset}"
+def _latest(store: TableStore) -> str | None:
+    silver = _present_silver(store)
+    return latest_process_date(silver).first()[0] if silver else None
 
 
-def _latest(store: TableStore, dataset: str | None = None) -> str | None:
-    names = DATASETS if dataset is None else [dataset]
-    present = {name: store.read_if_exists("silver", name) for name in names}
-    present = {name: frame for name, frame in present.items() if frame is not None}
-    return latest_process_date(present).first()[0] if present else None
+def _latest_by_dataset(store: TableStore) -> dict[str, str]:
+    silver = _present_silver(store)
+    return dict(latest_process_dates(silver).collect()) if silver else {}
 
 
 def advance_watermark(store: TableStore, process_ts: str, per_dataset: bool = False) -> str | None:
     """Set the mark, and with ``per_dataset`` also that of every dataset, to the latest process date."""
-    latest = _latest(store)
-    if latest is not None:
-        marks = {PIPELINE_NAME: latest}
-        if per_dataset:
-            by_dataset = {name: _latest(store, name) for name in DATASETS}
-            marks |= {_mark_name(name): day for name, day in by_dataset.items() if day is not None}
-        Watermark(store).set(marks, process_ts)
+    by_dataset = {name: day for name, day in _latest_by_dataset(store).items() if day is not None}
+    if not by_dataset:
+        return None
+    latest = max(by_dataset.values())
+    marks = {PIPELINE_NAME: latest}
+    if per_dataset:
+        marks |= {_mark_name(name): day for name, day in by_dataset.items()}
+    Watermark(store).set(marks, process_ts)
     return latest
 
 
@@ -283,7 +305,7 @@ def run_gold(
     With ``per_dataset`` each incremental fact follows the mark of its own source, so a dataset
     that arrives late with an older date is still picked up.
     """
-    marks = {name: gate(store, mode, name) for name in DATASETS} if per_dataset else {}
+    marks = gates(store, mode) if per_dataset else {}
     overall = gate(store, mode)
     if any(plan.action != "skip" for plan in marks.values()) and overall.action == "skip":
         overall = Gate("incremental", Watermark(store).get())

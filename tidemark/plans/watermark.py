@@ -67,6 +67,11 @@ class Watermark:
     def get(self) -> str | None:
         return read_mark(self.marks(), self.name).first()[0]
 
+    def get_all(self) -> dict[str, str]:
+        """All marks by pipeline name; there are a handful of them."""
+        marks = self.marks().groupBy("pipeline_name").agg(F.max("last_process_date"))
+        return dict(marks.collect())
+
     def set(self, days: dict[str, str], updated_at: str) -> None:
         """Set several marks in one step."""
         self.store.overwrite("gold", TABLE, with_marks(self.marks(), days, updated_at))

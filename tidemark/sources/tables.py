@@ -22,6 +22,11 @@ from tidemark.operators.upsert import ambiguous_keys, keep_surrogates, merge_row
 from tidemark.sources.files import Files
 
 
+# Name of version directories. Spark takes it for a partition column, so it must not be
+# the name of a column of any table.
+VERSION = "tidemark_version"
+
+
 class TableMissing(RuntimeError):
     """A table that has to be built first."""
 
@@ -185,7 +190,7 @@ class TableStore:
         self._files.delete(staging)
 
     def _write(self, layer: str, name: str, version: int, rows: DataFrame, by: str | None) -> Head:
-        folder = f"v={version}"
+        folder = f"{VERSION}={version}"
         target = f"{self.path(layer, name)}/{folder}"
         if by is None:
             rows.write.mode("overwrite").parquet(target)
@@ -210,7 +215,7 @@ class TableStore:
         root = self.path(layer, name)
         used = set(head.parts.values())
         for entry in self._files.names(root):
-            if not entry.startswith("v=") or entry in used:
+            if not entry.startswith(f"{VERSION}=") or entry in used:
                 continue
             parts = [f"{entry}/{part}" for part in self._files.names(f"{root}/{entry}")]
             if not used.intersection(parts):
