@@ -311,32 +311,31 @@ def fact_session(sessions: DataFrame, dims: Frames) -> DataFrame:
 
 def first_event_dates(events_with_customer: DataFrame, event_type: str, out: str) -> DataFrame:
     """First date of one kind of product event per customer and product."""
-    hits = events_with_customer.where((F.col("event_type") == event_type) & F.col("product_id").isNotNull())
+    hits = product_events(events_with_customer, event_type)
     return hits.groupBy("customer_id", "product_id").agg(F.min("event_date").alias(out))
 
 
-def session_steps(events: DataFrame) -> DataFrame:
-    """Per session and product: first view date, first time in the cart, first checkout from then on."""
-    viewed = F.min(F.expr("CASE WHEN event_type = 'page_view' THEN event_date END"))
-    in_cart = F.min(F.expr("CASE WHEN event_type = 'add_to_cart' THEN timestamp END"))
-    steps = (
-        events.where("event_type IN ('page_view', 'add_to_cart') AND product_id IS NOT NULL")
+def product_events(events: DataFrame, event_type: str) -> DataFrame:
+    return events.where((F.col("event_type") == event_type) & F.col("product_id").isNotNull())
+
+
+def cart_steps(events: DataFrame) -> DataFrame:
+    """Per session and product: when it first lay in the cart, and the first checkout from then on."""
+    carts = (
+        product_events(events, "add_to_cart")
         .groupBy("session_id", "product_id")
-        .agg(viewed.alias("view_date"), in_cart.alias("cart_ts"))
+        .agg(F.min("timestamp").alias("cart_ts"))
+        .where("cart_ts IS NOT NULL")
     )
     checkouts = events.where("event_type = 'checkout'").select(
         "session_id", F.col("timestamp").alias("checkout_ts")
     )
-    carts = steps.where("cart_ts IS NOT NULL")
-    only_viewed = steps.where("cart_ts IS NULL").withColumn("checkout_ts", F.lit(None).cast("timestamp"))
-    return first_at_or_after(carts, checkouts, "session_id", "cart_ts", "checkout_ts").unionByName(
-        only_viewed
-    )
+    return first_at_or_after(carts, checkouts, "session_id", "cart_ts", "checkout_ts")
 
 
 def funnel_checkout_dates(events: DataFrame, sessions: DataFrame) -> DataFrame:
     """First date a product went through a checkout of the session whose cart already held it."""
-    passed = session_steps(events).where("checkout_ts IS NOT NULL")
+    passed = cart_steps(events).where("checkout_ts IS NOT NULL")
     return (
         with_session_customer(passed, sessions)
         .groupBy("customer_id", "product_id")
@@ -381,13 +380,17 @@ def funnel_purchase_dates(
 
 def funnel_dates(events: DataFrame, sessions: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     """One row per customer and product seen in any stage, with the first date of each stage."""
-    visits = with_session_customer(session_steps(events), sessions).select(
-        "customer_id",
+    views = product_events(events, "page_view").select(
+        "session_id", "product_id", F.col("event_date").alias("first_view_date")
+    )
+    carts = cart_steps(events).select(
+        "session_id",
         "product_id",
-        F.col("view_date").alias("first_view_date"),
         F.to_date("cart_ts").alias("first_add_to_cart_date"),
         F.to_date("checkout_ts").alias("first_checkout_date"),
     )
+    steps = views.unionByName(carts, allowMissingColumns=True)
+    visits = with_session_customer(steps, sessions).drop("session_id")
     purchases = funnel_purchase_dates(events, sessions, orders, items)
     stages = (
         "first_view_date",
