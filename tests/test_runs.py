@@ -206,7 +206,7 @@ def test_command_line(spark, store, tmp_path):
 
     assert len(call("bronze", D1, str(landing)).done) == 7
     assert call("bronze", D1, str(landing / "events.csv")).done == {"events": "ok"}
-    assert call("bronze", D1, str(landing / "events.csv"), "events", "--append").done == {"events": "ok"}
+    assert call("bronze", D1, str(landing / "events.csv"), "events", "--append", "--report").done == {"events": "ok"}
     assert store.bronze("events").count() == 8
     assert call("silver", D1, "events").done == {"events": "ok"}
     assert len(call("silver", D1).done) == 7

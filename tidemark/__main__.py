@@ -16,6 +16,7 @@ from datetime import datetime, timezone
 from pathlib import PurePosixPath
 
 from tidemark.plans import runs
+from tidemark.plans.bronze import show_report
 from tidemark.session import build_session
 from tidemark.sources.schemas import DATASETS
 from tidemark.sources.tables import TableStore
@@ -34,6 +35,8 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     bronze.add_argument("dataset", nargs="?")
     bronze.add_argument("--append", action="store_true", help="add to the date instead of replacing it")
 
+    bronze.add_argument("--report", action="store_true", help="print sample, schema, dates and validity counts")
+
     silver = layers.add_parser("silver")
     silver.add_argument("date", nargs="?", default=today.strftime("%Y-%m-%d"))
     silver.add_argument("dataset", nargs="?", choices=sorted(DATASETS))
@@ -56,7 +59,10 @@ def run(options: argparse.Namespace, store: TableStore) -> runs.Summary:
         dataset = options.dataset or path.name.removesuffix(".csv")
         mode = "append" if options.append else "replace"
         load = lambda: runs.load_bronze(store, dataset, options.file, day, stamp, mode)
-        return runs.run_all({dataset: load})
+        summary = runs.run_all({dataset: load})
+        if options.report and summary.succeeded:
+            show_report(store.bronze(dataset))
+        return summary
     if options.layer == "silver":
         if options.dataset is None:
             return runs.run_silver(store, day, stamp)

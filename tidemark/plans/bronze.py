@@ -45,3 +45,11 @@ def report_partitions(bronze: DataFrame) -> DataFrame:
 
 def report_validity(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy("is_valid_record_id").count()
+
+
+def show_report(bronze: DataFrame) -> None:
+    """Print what a load left behind: a sample, the schema, the delivery dates, validity counts."""
+    bronze.show(5, truncate=False)
+    bronze.printSchema()
+    report_partitions(bronze).show(20, truncate=False)
+    report_validity(bronze).show(truncate=False)

@@ -469,5 +469,5 @@ def processed_on(silver: DataFrame, process_date: str | None) -> DataFrame:
 def processed_since(silver: DataFrame, watermark: str) -> DataFrame:
     """Rows processed strictly after ``watermark``; none if the frame does not track it."""
     if "silver_process_date" not in silver.columns:
-        return silver.limit(0)
+        return silver.where(F.lit(False))
     return silver.where(F.col("silver_process_date") > watermark)

@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Process dates and stamps of the first and the second delivery.
@@ -104,20 +106,29 @@ RAW = {
   FROM {documents}""",
 }
 
-# Two deliveries that together hold every row: the second brings the rows the first lacks
-# and delivers some rows again, in part with changed values. Per dataset: the id the
-# deliveries are told apart by, and the columns that change in rows delivered again.
-DELIVERY_ID = {
-    "customers": "customer_id",
-    "orders": "order_id",
-    "order_items": "order_id",
-    "products": "product_id",
-    "reviews": "review_id",
-    "sessions": "session_id",
-    "events": "event_id",
+# Two deliveries that together hold every row, split by business time as deliveries are. The
+# second brings what is new since the first, and delivers some rows again, in part with
+# changed values. Unreadable times sort behind all dates, so such rows come second.
+NEW_LATER = {
+    "customers": "signup_date >= '2024-06-01'",
+    "products": "price_usd >= 500",
+    "orders": "order_time >= '2000-01-01'",
+    "order_items": "order_id IN (SELECT order_id FROM raw_orders WHERE order_time >= '2000-01-01')",
+    "reviews": "review_time >= '2024-01-12'",
+    "sessions": "start_time >= '2000-01-01'",
+    "events": "timestamp >= '2000-01-01'",
+}
+SENT_AGAIN = {
+    "customers": "marketing_opt_in = 'maybe'",
+    "products": "price_usd < 100",
+    "orders": "source = 'P'",
+    "order_items": "order_id IN (SELECT order_id FROM raw_orders WHERE source = 'P')",
+    "reviews": "rating = 5",
+    "sessions": "source = 'P'",
+    "events": "event_type = 'checkout'",
 }
 CHANGED_AGAIN = {
-    "customers": {"email": "concat('new.', email)"},
+    "customers": {"email": "'new.' || email"},
     "products": {"price_usd": "price_usd + 10", "cost_usd": "cost_usd + 10"},
     "orders": {"total_usd": "total_usd - 1"},
 }
@@ -125,23 +136,23 @@ CHANGED_AGAIN = {
 
 def delivery_sql(dataset: str, number: int, columns: list[str]) -> str:
     """SELECT of the first or second delivery of a dataset from its raw view."""
-    key, raw = DELIVERY_ID[dataset], f"raw_{dataset}"
+    raw_name, new, again = f"raw_{dataset}", NEW_LATER[dataset], f"coalesce({SENT_AGAIN[dataset]}, false)"
     if number == 1:
-        return f"SELECT {', '.join(columns)} FROM {raw} WHERE {key} % 3 <> 0"
+        return f"SELECT {', '.join(columns)} FROM {raw_name} WHERE NOT ({new})"
     changes = CHANGED_AGAIN.get(dataset, {})
-    chosen = [
-        f"CASE WHEN {key} % 10 = 1 THEN {changes[c]} ELSE {c} END AS {c}" if c in changes else c
-        for c in columns
-    ]
-    return f"SELECT {', '.join(chosen)} FROM {raw} WHERE {key} % 3 = 0 OR {key} % 10 = 1"
-
-
-def needed_raw(name: str) -> list[str]:
-    """Raw views a raw view is built from, itself last, in definition order."""
-    found = {name}
-    for candidate in reversed(list(RAW)):
-        if candidate != name and any(candidate in RAW[user] for user in found):
-            found.add(candidate)
+    chosen = [f"CASE WHEN {again} THEN {changes[c]} ELSE {c} END AS {c}" if c in changes else c for c in columns]
+    return f"SELECT {', '.join(chosen)} FROM {raw_name} WHERE ({new}) OR {again}"
+
+
+def needed_raw(statement: str) -> list[str]:
+    """Raw views a statement is built from, directly or not, in definition order."""
+    found: set[str] = set()
+    pending = [statement]
+    while pending:
+        text = pending.pop()
+        fresh = [name for name in RAW if re.search(rf"\b{name}\b", text) and name not in found]
+        found.update(fresh)
+        pending += [RAW[name] for name in fresh]
     return [entry for entry in RAW if entry in found]
 
 
@@ -153,11 +164,10 @@ def raw(spark: SparkSession, sf_dir: str, dataset: str, delivery: int | None = N
     """A landing-shaped frame: all rows, or those of one delivery."""
     from tidemark.sources.schemas import DATASETS
 
-    name = f"raw_{dataset}"
-    ctes = ", ".join(f"{entry} AS ({RAW[entry]})" for entry in needed_raw(name))
-    last = f"SELECT * FROM {name}"
+    last = f"SELECT * FROM raw_{dataset}"
     if delivery is not None:
         last = delivery_sql(dataset, delivery, DATASETS[dataset].columns)
+    ctes = ", ".join(f"{entry} AS ({RAW[entry]})" for entry in needed_raw(last))
     text = f"WITH {ctes} {last}"
     used = {table: given(spark, sf_dir, table) for table in GIVEN_TABLES if f"{{{table}}}" in text}
     return spark.sql(text, **used)

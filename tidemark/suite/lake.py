@@ -87,6 +87,7 @@ class Stage:
         return gold.dim_products(self.silver("products"), self.dimension("dim_category"), FIRST_TS)
 
     def dims(self) -> dict[str, DataFrame]:
+        self.all_silver()  # before the dimensions, which are built side by side and share it
         for group in runs.GOLD_GROUPS[:2]:
             outcome = runs.run_all({name: lambda name=name: self.dimension(name) for name in group})
             if not outcome.succeeded:

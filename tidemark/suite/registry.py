@@ -336,7 +336,6 @@ def merge_keep_surrogate(spark: SparkSession, sf: str) -> DataFrame:
 def gold_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     store = scratch(spark)
     dimension = stage(spark, sf).build_dimension("dim_country")
-    store.overwrite("gold", "dim_country", dimension.limit(0))
     store.overwrite("gold", "dim_country", dimension)
     # A table may be rebuilt from itself.
     store.overwrite("gold", "dim_country", store.read("gold", "dim_country"))
@@ -410,9 +409,9 @@ def max_surrogate(spark: SparkSession, sf: str) -> DataFrame:
     return keys.largest_key(stage(spark, sf).dimension("dim_customers"), "customer_key")
 
 
-@query("static_dim_initial", "SELECT * FROM names1")
+@query("static_dim_initial", sql.static_dim("SELECT name FROM all_names", "name", "name_key"))
 def static_dim_initial(spark: SparkSession, sf: str) -> DataFrame:
-    return dimensions.static_dimension(raw(spark, sf, "customers", 1).select("name"), "name", "name_key")
+    return dimensions.static_dimension(raw(spark, sf, "customers").select("name"), "name", "name_key")
 
 
 @query(
@@ -420,8 +419,10 @@ def static_dim_initial(spark: SparkSession, sf: str) -> DataFrame:
     sql.static_dim("SELECT name FROM all_names", "name", "name_key", "names1"),
 )
 def static_dim_increment(spark: SparkSession, sf: str) -> DataFrame:
+    first = raw(spark, sf, "customers", 1).select("name")
+    known = dimensions.static_dimension(first, "name", "name_key")
     return dimensions.static_dimension(
-        raw(spark, sf, "customers").select("name"), "name", "name_key", static_dim_initial(spark, sf)
+        raw(spark, sf, "customers").select("name"), "name", "name_key", known
     )
 
 
@@ -467,9 +468,9 @@ def _scd2_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return dimension, gold.customer_source(merged, SECOND_DATE)
 
 
-@query("scd2_initial", "SELECT * FROM g1_customers")
+@query("scd2_initial", "SELECT * FROM g_customers")
 def scd2_initial(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.dim_customers(_customers(spark, sf, 1), FIRST_DATE, FIRST_TS)
+    return gold.dim_customers(silver(spark, sf, "customers"), FIRST_DATE, FIRST_TS)
 
 
 @query(
