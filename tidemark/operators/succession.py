@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SLOT_SECONDS = 3600
+# A window holds what one group emits within a slot. Shorter slots mean smaller windows and
+# a longer summary; five minutes leave ordinary sessions with a handful of summary rows.
+SLOT_SECONDS = 300
 
 
 def _second(ts: str) -> Column:
