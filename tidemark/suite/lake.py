@@ -50,19 +50,26 @@ class Stage:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.store = TableStore(spark, fresh_folder(spark, "stage"))
+        self._scans: dict[str, DataFrame] = {}
 
     def silver(self, dataset: str) -> DataFrame:
-        if not self.store.exists("silver", dataset):
+        if dataset not in self._scans:
             rows = silver(self.spark, self.sf_dir, dataset)
             self.store.overwrite("silver", dataset, rows, "silver_process_date")
-        return self.store.read("silver", dataset)
+            self._scans[dataset] = self.store.read("silver", dataset)
+        return self._scans[dataset]
+
+    def _side_by_side(self, make, names) -> dict[str, DataFrame]:
+        """Scans by name; tables not stored yet are written side by side."""
+        missing = [name for name in names if name not in self._scans]
+        if missing:
+            outcome = runs.run_all({name: lambda name=name: make(name) for name in missing})
+            if not outcome.succeeded:
+                raise RuntimeError(str(outcome.failed))
+        return {name: make(name) for name in names}
 
     def several(self, *datasets: str) -> dict[str, DataFrame]:
-        """Silver tables by name; those not stored yet are written side by side."""
-        outcome = runs.run_all({name: lambda name=name: self.silver(name) for name in datasets})
-        if not outcome.succeeded:
-            raise RuntimeError(str(outcome.failed))
-        return {name: self.silver(name) for name in datasets}
+        return self._side_by_side(self.silver, datasets)
 
     def all_silver(self) -> dict[str, DataFrame]:
         return self.several(*DATASETS)
@@ -71,9 +78,10 @@ class Stage:
         return gold.valid_rows(self.silver(dataset))
 
     def dimension(self, table: str) -> DataFrame:
-        if not self.store.exists("gold", table):
+        if table not in self._scans:
             self.store.overwrite("gold", table, self.build_dimension(table))
-        return self.store.read("gold", table)
+            self._scans[table] = self.store.read("gold", table)
+        return self._scans[table]
 
     def build_dimension(self, table: str) -> DataFrame:
         if table in gold.KEY_DIMENSIONS:
@@ -88,12 +96,10 @@ class Stage:
 
     def dims(self) -> dict[str, DataFrame]:
         self.all_silver()  # before the dimensions, which are built side by side and share it
-        for group in runs.GOLD_GROUPS[:2]:
-            outcome = runs.run_all({name: lambda name=name: self.dimension(name) for name in group})
-            if not outcome.succeeded:
-                raise RuntimeError(str(outcome.failed))
-        names = (*runs.GOLD_GROUPS[0], *runs.GOLD_GROUPS[1])
-        return {name: self.dimension(name) for name in names}
+        return {
+            **self._side_by_side(self.dimension, runs.GOLD_GROUPS[0]),
+            **self._side_by_side(self.dimension, runs.GOLD_GROUPS[1]),
+        }
 
     def fact(self, table: str) -> DataFrame:
         silver = self.all_silver()
