@@ -105,3 +105,10 @@ def run_bounds(*keys: np.ndarray) -> np.ndarray:
     for k in keys:
         new[1:] |= k[1:] != k[:-1]
     return np.append(np.flatnonzero(new), n)
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file, the same on every machine of the cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
