@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import cap_filters, mixing, packing, simhash, token_files
+from tidemark.llm import cap_filters, language, mixing, packing, simhash, syncmers, token_files
 from tidemark.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,16 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), "word")
+
+
+@query
+def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edit_check(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.fold("doc_id", 5) == 0
+    network = language.train(docs.where(~held_out))
+    return language.identify(docs, network).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
