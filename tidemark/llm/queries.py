@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import cap_filters, language, mixing, packing, simhash, syncmers, token_files
+from tidemark.llm import cap_filters, language, mixing, packing, simhash, suffixes, syncmers, token_files
 from tidemark.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language.fold("doc_id", 5) == 0
     network = language.train(docs.where(~held_out))
     return language.identify(docs, network).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
