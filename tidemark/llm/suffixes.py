@@ -33,6 +33,8 @@ PIECE = 1 << 20
 TABLE_BITS = 26
 #: Stretches of one value are sorted in groups of about this many, then the groups' leaders once more.
 GROUP = 4096
+#: Groups are sorted side by side up to about this many windows.
+WINDOWS = 1 << 16
 NO_ID = (1 << 63) - 1
 
 
@@ -134,10 +136,12 @@ def _shared(table):
 
 
 class Suffixes:
-    """Suffixes of some byte strings, compared over at most ``length`` bytes."""
+    """Suffixes of some byte strings, compared over at most ``length`` bytes. Several groups, each sorted on its own, lie side by
+    side: ``bounds`` are their starts and the end."""
 
-    def __init__(self, raw: np.ndarray, starts: np.ndarray, length: int = LENGTH):
+    def __init__(self, raw: np.ndarray, starts: np.ndarray, bounds: np.ndarray | None = None, length: int = LENGTH):
         self.raw, self.starts, self.length = raw, starts, length
+        self.bounds = np.array([0, len(starts)]) if bounds is None else bounds
         self.prefix = prefix_hashes(raw)
 
     def extension(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -170,37 +174,41 @@ class Suffixes:
 
     def order(self) -> np.ndarray:
         """Bottom-up mergesort: in each round every pair of neighbouring sorted runs is merged by ranking into each other."""
-        n = len(self.starts)
-        order, width = np.arange(n), 1
-        place = np.arange(n)
-        while width < n:
-            run = place // width
+        sizes = np.diff(self.bounds)
+        order, width = np.arange(len(self.starts)), 1
+        begin, end = np.repeat(self.bounds[:-1], sizes), np.repeat(self.bounds[1:], sizes)
+        place = np.flatnonzero(end - begin > 1)
+        while len(place):
+            first, last = begin[place], end[place]
+            run = (place - first) // width
             left = run % 2 == 0
-            lo = np.where(left, (run + 1) * width, (run - 1) * width)
-            lo = np.minimum(lo, n)
-            hi = np.minimum(lo + width, n)
-            ahead = np.empty(n, dtype=np.int64)
-            ahead[left] = self._rank(order[left], order, lo[left], hi[left], False)
-            ahead[~left] = self._rank(order[~left], order, lo[~left], hi[~left], True)
-            target = np.where(left, place + ahead, place - width + ahead)
-            merged = np.empty(n, dtype=np.int64)
-            merged[target] = order
-            order, width = merged, width * 2
+            lo = np.minimum(first + np.where(left, run + 1, run - 1) * width, last)
+            hi = np.minimum(lo + width, last)
+            ahead = np.empty(len(place), dtype=np.int64)
+            values = order[place]
+            ahead[left] = self._rank(values[left], order, lo[left], hi[left], False)
+            ahead[~left] = self._rank(values[~left], order, lo[~left], hi[~left], True)
+            order[np.where(left, place, place - width) + ahead] = values
+            width *= 2
+            place = place[last - first > width]
         return order
 
     def classes(self) -> np.ndarray:
-        """A number per suffix, equal exactly for equal windows. Verified on bytes."""
+        """A number per suffix, equal exactly for equal windows of one group. Verified on bytes."""
         order = self.order()
         same = self.extension(order[:-1], order[1:]) >= self.length
-        if not self._verified(order, same):
-            strings = [self.raw[s : s + self.length].tobytes() for s in self.starts]
+        border = np.zeros(len(same) + 1, dtype=bool)
+        border[self.bounds[1:-1]] = True
+        if not self._verified(order, same, border[1:]):
+            group = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+            strings = [b"%d:" % g + self.raw[s : s + self.length].tobytes() for g, s in zip(group, self.starts)]
             return np.unique(np.array(strings, dtype=object), return_inverse=True)[1]
         number = np.zeros(len(order), dtype=np.int64)
-        number[order[1:]] = np.cumsum(~same)
+        number[order[1:]] = np.cumsum(~same | border[1:])
         return number
 
-    def _verified(self, order: np.ndarray, same: np.ndarray) -> bool:
-        """Neighbours called the same are so, and the others rise strictly."""
+    def _verified(self, order: np.ndarray, same: np.ndarray, border: np.ndarray) -> bool:
+        """Neighbours called the same are so, and the others rise strictly but over the border of two groups."""
         step = np.arange(self.length)
         for at in range(0, len(same), 1 << 14):
             part = slice(at, min(at + (1 << 14), len(same)))
@@ -211,12 +219,12 @@ class Suffixes:
                 return False
             first = differs.argmax(axis=1)
             line = np.arange(len(first))
-            if ((a[line, first] > b[line, first]) & ~same[part]).any():
+            if ((a[line, first] > b[line, first]) & ~same[part] & ~border[part]).any():
                 return False
         return True
 
 
-def _sorted_windows(rows: pa.Table, lo: int, hi: int) -> tuple[np.ndarray, ...]:
+def _sorted_windows(rows: pa.Table, lo: int, hi: int, edges: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of stretches lo..hi: class, owner row and first byte of each window, in the stretches' order, and the buffer."""
     texts = rows.column("bytes").slice(lo, hi - lo).to_pylist()
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
@@ -225,7 +233,8 @@ def _sorted_windows(rows: pa.Table, lo: int, hi: int) -> tuple[np.ndarray, ...]:
     within = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
     starts = (np.cumsum(sizes) - sizes)[owner] + within
     raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    return Suffixes(raw, starts).classes(), owner, within, raw, starts
+    bounds = np.append(0, np.cumsum(n))[edges - lo]
+    return Suffixes(raw, starts, bounds).classes(), owner, within, raw, starts
 
 
 FOUND = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("h", pa.int64()), ("bytes", pa.binary())])
@@ -243,10 +252,14 @@ def _sort(leaders: bool):
             h, part = rows.column("h").to_numpy(), rows.column("part").to_numpy()
             docs, tags, ats, parts = (rows.column(c).to_numpy() for c in ("doc", "tag", "at", "parts"))
             edges = run_bounds(h, part)
-            for lo, hi in zip(edges[:-1], edges[1:]):
-                if hi - lo < 2 and not (leaders and parts[lo] > 1):
-                    continue
-                number, owner, within, raw, starts = _sorted_windows(rows, int(lo), int(hi))
+            upto = np.append(0, np.cumsum(rows.column("n").to_numpy()))[edges]
+            at = 0
+            while at < len(edges) - 1:
+                # whole groups of about WINDOWS windows at a time
+                to = max(int(np.searchsorted(upto, upto[at] + WINDOWS, side="right")) - 1, at + 1)
+                lo, hi, mine_edges = int(edges[at]), int(edges[to]), edges[at : to + 1]
+                at = to
+                number, owner, within, raw, starts = _sorted_windows(rows, lo, hi, mine_edges)
                 doc = docs[lo:hi][owner]
                 least = np.full(int(number.max()) + 1, NO_ID)
                 np.minimum.at(least, number, doc)
@@ -260,8 +273,8 @@ def _sort(leaders: bool):
                 columns = [docs[source], tags[source], ats[source] + within[first], count, np.zeros(len(first), dtype=np.int64)]
                 if len(first):
                     yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(len(first), pa.binary())], schema=FOUND)
-                if leaders and parts[lo] > 1:
-                    mine = np.flatnonzero(~later)
+                mine = np.flatnonzero(~later & (parts[lo:hi][owner] > 1)) if leaders else []
+                if len(mine):
                     prefix = prefix_hashes(raw)
                     for i in range(0, len(mine), 1 << 14):
                         some = mine[i : i + (1 << 14)]
