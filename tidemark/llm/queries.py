@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import cap_filters, language, mixing, packing, simhash, suffixes, syncmers, token_files
+from tidemark.llm import cap_filters, language, mixing, packing, simhash, suffixes, syncmers, token_files, toxicity
 from tidemark.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +64,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op10_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.fold("doc_id", 4) == 2
+    model = toxicity.train(docs.where(~held_out), table(spark, sf_dir, "labels"))
+    found = toxicity.scores(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
