@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import cap_filters, language, mixing, packing, simhash, suffixes, syncmers, token_files, toxicity
+from tidemark.llm import attention, cap_filters, language, mixing, packing, simhash, suffixes, syncmers, token_files, toxicity
 from tidemark.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,11 @@ def op10_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs.where(~held_out), table(spark, sf_dir, "labels"))
     found = toxicity.scores(docs, model)
     return found.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op4_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.fold("doc_id", 7) == 2
+    found = attention.score(docs, docs.where(~held_out), vocabulary("byte_bpe_50k.json"))
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -154,7 +154,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their class: the smallest id of each (rows without an id are kept)."""
-    classes = near_duplicates(docs, id_column, text_column)
-    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_column) == F.col("__gone"), "left_anti")
+    """One row of ``docs`` of each class: the one with the smallest id (null ids last; any one of repeated rows).
+
+    Rows are numbered in a written copy, so that rows with the same id or without one are told apart.
+    """
+    number = "rid"
+    while number in docs.columns:
+        number += "_"
+    numbered = stage(docs.withColumn(number, F.monotonically_increasing_id()), "numbered-documents")
+    classes = near_duplicates(numbered, number, text_column).select(F.col("doc_id").alias("__rid"), F.col("component_id").alias("__class"))
+    ids = numbered.select(F.col(number).alias("__rid"), F.coalesce(F.col(id_column).cast("long"), F.lit((1 << 63) - 1)).alias("__id"))
+    kept = classes.join(ids, "__rid").groupBy("__class").agg(F.min(F.struct("__id", "__rid"))["__rid"].alias("__kept"))
+    return numbered.join(kept, F.col(number) == F.col("__kept"), "left_semi").drop(number)
