@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -192,8 +193,6 @@ def keep_identified(docs: DataFrame, network: Network | None, id_column: str = "
 
 
 def _identified(network: Network | None):
-    import pandas as pd
-
     def identified(texts: pd.Series) -> pd.Series:
         batch = pa.RecordBatch.from_arrays([pa.array([0] * len(texts), pa.int64()), pa.array([t if isinstance(t, str) else None for t in texts], pa.string())], names=["doc_id", "text"])
         found = next(_predictor(network)(iter([batch]))).column("lang_pred")
