@@ -228,3 +228,15 @@ def test_pipeline_stages_on_hard_rows(spark, docs, empty):
                 assert frame.columns == columns
         rows = frame.collect()
     assert rows == []
+
+
+def test_packing_plan_ends_and_is_exact():
+    rng = np.random.default_rng(0)
+    lengths, times = np.unique(np.minimum(4096, rng.lognormal(6, 1.2, 1000).astype(int) + 1), return_counts=True)
+    counts = dict(zip(lengths.tolist(), times.tolist()))
+    used = dict.fromkeys(counts, 0)
+    for repeats, members in packing.plan(counts):
+        assert repeats > 0 and sum(length * n for length, n in members) <= 4096
+        for length, n in members:
+            used[length] += n * repeats
+    assert used == counts

@@ -127,10 +127,11 @@ def plan(counts: dict[int, int], limit: int = LIMIT) -> list[tuple[int, list[tup
                 length = largest(min(c * cell, room))
                 if length <= (c - 1) * cell:
                     break
-                if members.get(length, 0) >= left[length]:
+                # lengths this sequence has already used up are passed over
+                while length > (c - 1) * cell and members.get(length, 0) >= left[length]:
                     length = largest(length - 1)
-                    if length <= (c - 1) * cell:
-                        break
+                if length <= (c - 1) * cell:
+                    break
                 members[length] = members.get(length, 0) + 1
                 room -= length
             else:
