@@ -21,17 +21,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of 50 bytes or more that a document with a smaller id holds; n_chars follows the text. No row is dropped."""
-    number = "rid"
-    while number in docs.columns:
-        number += "_"
-    numbered = stage(docs.withColumn(number, F.monotonically_increasing_id()), "numbered-documents")
-    found = suffixes.remove_repeats(numbered, keep_text=True, rid_column=number)
-    found = found.select(F.col("rid").alias("__rid"), F.col("kept_text").alias("__text"))
-    changed = {"text": F.when(F.col("text").isNotNull(), F.col("__text"))}
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    others = {c: n for c, n in zip(docs.columns, names) if c != "text"}
+    carry = F.struct(F.col("text").isNull().alias("no_text"), *[F.col(f"`{c}`").alias(n) for c, n in others.items()])
+    found = suffixes.remove_repeats(docs, keep_text=True, carry=carry)
+    kept = {c: F.col(f"carried.{n}") for c, n in others.items()}
+    kept["text"] = F.when(~F.col("carried.no_text"), F.col("kept_text"))
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.length("__text").cast(docs.schema["n_chars"].dataType)
-    joined = numbered.join(found, F.col(number) == F.col("__rid"))
-    return joined.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+        kept["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+    return found.select(*[kept[c].alias(c) for c in docs.columns])
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,8 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.llm.common import Runs, portions, run_bounds, stage
 from tidemark.llm.rolling import grams, mix, prefix_hashes, sliding_min, span
@@ -338,27 +339,27 @@ def _remover(keep_text: bool):
                 out.append([*found, rest.decode("utf-8", "ignore") if keep_text else None])
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             columns = [pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types]
-            names = ["rid", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
-            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), *columns], names=names)
+            names = ["doc_id", "carried", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("carried"), *columns], names=names)
 
     return remove
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep_text: bool = False, rid_column: str | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep_text: bool = False, carry: Column | None = None) -> DataFrame:
     """Removes every byte covered by a 50-byte string that also starts in a document with a smaller id.
 
-    Columns: rid (``rid_column`` handed through, or null), doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text (where asked for; bytes of
+    Columns: doc_id, carried (``carry`` handed through, or null), n_bytes, n_removed, n_spans, kept_sha256, kept_text (where asked for; bytes of
     characters that a cut went through are left out). One row per row. A null text is empty. A null id counts as larger than all others.
     Rows with the same id do not remove from each other. Texts equal to one of a smaller id lose all (if they have a window at all).
     """
     spark = docs.sparkSession
-    rid = F.col(rid_column).cast("long") if rid_column else F.lit(None).cast("long")
-    rows = docs.select(rid.alias("rid"), F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
+    carried = (F.lit(None).cast("int") if carry is None else carry).alias("carried")
+    rows = docs.select(carried, F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
     firsts = stage(rows.groupBy("digest").agg(F.min("doc").alias("least")), "suffix-texts")
     tag = F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")
     known = rows.join(firsts, "digest").withColumn("tag", tag).withColumn("copy", F.col("doc") > F.col("least"))
-    known = stage(known.select("rid", "doc_id", "doc", "tag", "copy", "text"), "suffix-documents")
+    known = stage(known.select("carried", "doc_id", "doc", "tag", "copy", "text"), "suffix-documents")
     # rows that repeat id and text are the same document here
     texts = known.where(~F.col("copy") & (F.octet_length("text") >= LENGTH)).select("doc", "tag", "text")
     values = texts.mapInArrow(_values, "h long, doc long").groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi")
@@ -369,13 +370,13 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     bits = np.zeros(1 << (TABLE_BITS - 6), dtype=np.uint64)
     bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     table = spark.sparkContext.broadcast(bits)
-    shared = stage(texts.mapInArrow(_shared(table), "h long, c long, doc long, tag long, at long, n long").distinct(), "suffix-stretches")
+    shared = stage(texts.mapInArrow(_shared(table), "h long, c long, doc long, tag long, at long, n long"), "suffix-stretches")
     leaders = stage(shared.groupBy("h", "c").agg(F.min("doc").alias("least")), "suffix-leaders")
     several = leaders.groupBy("h").agg(F.count("*").alias("k"), F.min("least").alias("lo"), F.max("least").alias("hi")).where("lo < hi")
-    placed = shared.join(leaders, ["h", "c"])
+    placed = stage(shared.join(leaders, ["h", "c"]).select("h", "doc", "tag", "at", "n", "least"), "suffix-placed")
     whole = placed.where("doc > least").select("doc", "tag", "at", "n")
     open_ = placed.where("doc = least").join(several.select("h", F.ceil(F.col("k") / GROUP).cast("long").alias("parts")), "h")
-    wanted = open_.groupBy("doc", "tag").agg(F.collect_list(F.struct("h", "at", "n", "parts")).alias("wanted"))
+    wanted = open_.groupBy("doc", "tag").agg(F.collect_set(F.struct("h", "at", "n", "parts")).alias("wanted"))
     one_each = texts.join(wanted, ["doc", "tag"]).dropDuplicates(["doc", "tag"])
     pieces = one_each.mapInArrow(_extract, "h long, doc long, tag long, at long, n long, parts long, bytes binary")
     pieces = pieces.withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")))
@@ -385,6 +386,11 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     again = found.where("bytes IS NOT NULL").withColumn("part", F.lit(0).cast("long")).withColumn("parts", F.lit(1).cast("long"))
     second = again.repartition("h").sortWithinPartitions("h", "part").mapInArrow(_sort(False), columns)
     marks = found.where("bytes IS NULL").union(second).select("doc", "tag", "at", "n").union(whole)
-    marks = marks.groupBy("doc", "tag").agg(F.collect_list(F.struct("at", "n")).alias("marks"))
-    joined = known.join(marks, ["doc", "tag"], "left").select("rid", "doc_id", "copy", "text", "marks")
-    return joined.mapInArrow(_remover(keep_text), "rid long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    marks = marks.groupBy("doc", "tag").agg(F.collect_set(F.struct("at", "n")).alias("marks"))
+    columns = ["doc_id", "carried", "copy", "text", "marks"]
+    # copies go whole and need no marks
+    originals = known.where(~F.col("copy")).join(marks, ["doc", "tag"], "left").select(columns)
+    copies = known.where("copy").withColumn("marks", F.lit(None).cast(marks.schema["marks"].dataType)).select(columns)
+    numbers = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+    out = StructType([known.schema["doc_id"], known.schema["carried"], *StructType.fromDDL(numbers).fields])
+    return originals.union(copies).mapInArrow(_remover(keep_text), out)
