@@ -5,6 +5,7 @@ import pytest
 from tidemark.plans.bronze import to_bronze
 from tidemark.plans.silver import RECIPES, clean, with_validation
 from tidemark.sources.schemas import DATASETS
+from tidemark.suite import fixtures
 
 DAY, STAMP = "2024-01-15", "2024-01-15 00:00:00"
 
@@ -164,3 +165,30 @@ def test_unknown_dataset_has_no_identity(spark):
     bronze = to_bronze(spark.createDataFrame([(1,)], "a INT"), "other", DAY, STAMP)
     row = bronze.first()
     assert (row["record_id"], row["record_id_source"], row["dq_error"]) == (None, "NOT_FOUND", "NULL_RECORD_ID")
+
+
+def test_event_and_session_ids_stay_unique_for_large_keys(spark):
+    orders = "SELECT explode(array(1, 999999, 1000000, 1000001, 1000000000, 1000000001, 100000000000)) AS order_id"
+    items = f"SELECT order_id, explode(array(3, 999999, 1000003, 1000000007)) AS product_id FROM ({orders})"
+    days = (
+        "SELECT user_id, explode(array(TIMESTAMP '2024-01-31', TIMESTAMP '2024-03-31')) AS ts"
+        " FROM (SELECT CAST(explode(array(0, 1, 12, 1000000, 100000000)) AS BIGINT) AS user_id)"
+    )
+    ids = spark.sql(
+        f"SELECT {fixtures._ITEM_EVENT} + 1 AS id FROM ({items}) i UNION ALL SELECT {fixtures._ITEM_EVENT} + 2 FROM ({items}) i"
+        f" UNION ALL SELECT order_id * 80000 + 3 FROM ({orders}) UNION ALL SELECT order_id * 80000 + 4 FROM ({orders})"
+        " UNION ALL SELECT explode(array(0L, 8L, 80000L, 800000000000L))"
+    )
+    assert ids.count() == ids.distinct().count() == 7 * 4 * 2 + 7 * 2 + 4
+    sessions = spark.sql(f"SELECT order_id * 2 AS id FROM ({orders}) UNION ALL SELECT {fixtures._DAY_SESSION} FROM ({days})")
+    assert sessions.count() == sessions.distinct().count() == 7 + 5 * 2
+
+
+def test_ids_above_32_bits_reach_silver(spark, tmp_path):
+    path = str(tmp_path / "orders.csv")
+    with open(path, "w") as out:
+        out.write("order_id,customer_id,order_time,payment_method,discount_pct,subtotal_usd,total_usd,country,device,source\n")
+        out.write("3000000000,3000000001,2024-01-02 03:04:05,card,0,10,10,US,web,direct\n")
+    raw = spark.read.csv(path, header=True, schema=DATASETS["orders"].schema)
+    rows = clean(to_bronze(raw, "orders", DAY, STAMP), "orders", DAY, STAMP).collect()
+    assert [(r["order_id"], r["customer_id"]) for r in rows] == [(3000000000, 3000000001)]

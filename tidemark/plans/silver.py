@@ -95,7 +95,7 @@ RECIPES: dict[str, Recipe] = {
     "events": Recipe(
         parse={
             "timestamp": "try_cast(timestamp AS TIMESTAMP)",
-            "product_id": "try_cast(product_id AS INT)",
+            "product_id": "try_cast(product_id AS BIGINT)",
         },
         trim=("event_type", "payment"),
         newest_first=("timestamp", "ingestion_timestamp"),

@@ -36,34 +36,34 @@ _DECLARED = (
     Dataset(
         "customers",
         ("customer_id",),
-        "customer_id INT, name STRING, email STRING, country STRING, age INT, signup_date STRING,"
+        "customer_id BIGINT, name STRING, email STRING, country STRING, age INT, signup_date STRING,"
         " marketing_opt_in STRING",
     ),
     Dataset(
         "orders",
         ("order_id",),
-        "order_id INT, customer_id INT, order_time STRING, payment_method STRING, discount_pct DOUBLE,"
+        "order_id BIGINT, customer_id BIGINT, order_time STRING, payment_method STRING, discount_pct DOUBLE,"
         " subtotal_usd DOUBLE, total_usd DOUBLE, country STRING, device STRING, source STRING",
     ),
     Dataset(
         "order_items",
         ("order_id", "product_id"),
-        "order_id INT, product_id INT, unit_price_usd DOUBLE, quantity INT, line_total_usd DOUBLE",
+        "order_id BIGINT, product_id BIGINT, unit_price_usd DOUBLE, quantity INT, line_total_usd DOUBLE",
     ),
     Dataset(
         "products",
         ("product_id",),
-        "product_id INT, category STRING, name STRING, price_usd DOUBLE, cost_usd DOUBLE, margin_usd DOUBLE",
+        "product_id BIGINT, category STRING, name STRING, price_usd DOUBLE, cost_usd DOUBLE, margin_usd DOUBLE",
     ),
     Dataset(
         "reviews",
         ("review_id",),
-        "review_id INT, order_id INT, product_id INT, rating INT, review_text STRING, review_time STRING",
+        "review_id BIGINT, order_id BIGINT, product_id BIGINT, rating INT, review_text STRING, review_time STRING",
     ),
     Dataset(
         "sessions",
         ("session_id",),
-        "session_id BIGINT, customer_id INT, start_time STRING, device STRING, source STRING, country STRING",
+        "session_id BIGINT, customer_id BIGINT, start_time STRING, device STRING, source STRING, country STRING",
     ),
 )
 

@@ -16,10 +16,14 @@ FIRST_TS, SECOND_TS = "2024-01-15 06:00:00", "2024-01-31 06:00:00"
 GIVEN_TABLES = ("customer", "nation", "orders", "lineitem", "part", "events", "documents", "supplier")
 
 _ORDER_MOMENT = "o_orderdate + CAST(o_orderkey % 86400 AS INT) * INTERVAL '1' SECOND"
+# Ids stay unique whatever the keys: sessions of orders are even and those of a user's day odd; an event's lowest three
+# bits name its kind, above them stand the order and the place of the product in it (four digits), or the given id.
+_DAY_SESSION = "(user_id * 100000000 + year(ts) * 10000 + month(ts) * 100 + day(ts)) * 2 + 1"
+_ITEM_EVENT = "(CAST(i.order_id AS BIGINT) * 10000 + row_number() OVER (PARTITION BY i.order_id ORDER BY i.product_id)) * 8"
 
 RAW = {
     "raw_customers": """
-  SELECT CAST(c_custkey AS INT) AS customer_id,
+  SELECT CAST(c_custkey AS BIGINT) AS customer_id,
     CASE WHEN c_custkey % 97 = 0 THEN '   ' ELSE concat(' ', c_name, ' ') END AS name,
     CASE WHEN c_custkey % 50 = 0 THEN NULL WHEN c_custkey % 50 = 1 THEN 'no-at-sign'
       ELSE concat('user.', CAST(c_custkey AS STRING), '@', lower(c_mktsegment), '.example') END AS email,
@@ -32,14 +36,14 @@ RAW = {
       WHEN 4 THEN 'YES' WHEN 5 THEN '0' ELSE 'maybe' END AS marketing_opt_in
   FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""",
     "raw_products": """
-  SELECT CAST(p_partkey AS INT) AS product_id, p_type AS category, concat(' ', p_name) AS name,
+  SELECT CAST(p_partkey AS BIGINT) AS product_id, p_type AS category, concat(' ', p_name) AS name,
     CAST(p_partkey % 700 AS DOUBLE) + 0.5 AS price_usd,
     CAST(p_partkey % 700 AS DOUBLE) + 0.5 - p_size AS cost_usd,
     CAST(p_size AS DOUBLE) + CASE WHEN p_partkey % 53 = 0 THEN 1.0 ELSE 0.0 END AS margin_usd
   FROM {part}""",
     "raw_orders": f"""
-  SELECT CAST(o_orderkey AS INT) AS order_id,
-    CASE WHEN o_orderkey % 83 = 0 THEN NULL ELSE CAST(o_custkey AS INT) END AS customer_id,
+  SELECT CAST(o_orderkey AS BIGINT) AS order_id,
+    CASE WHEN o_orderkey % 83 = 0 THEN NULL ELSE CAST(o_custkey AS BIGINT) END AS customer_id,
     CASE WHEN o_orderkey % 89 = 0 THEN 'bad-time' ELSE CAST({_ORDER_MOMENT} AS STRING) END AS order_time,
     CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN 'card' WHEN 1 THEN ' paypal ' WHEN 2 THEN ''
       ELSE 'bank' END AS payment_method,
@@ -50,30 +54,30 @@ RAW = {
     n_name AS country, o_orderpriority AS device, o_orderstatus AS source
   FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey JOIN {{nation}} ON c_nationkey = n_nationkey""",
     "raw_order_items": """
-  SELECT CAST(l_orderkey AS INT) AS order_id, CAST(l_partkey AS INT) AS product_id,
+  SELECT CAST(l_orderkey AS BIGINT) AS order_id, CAST(l_partkey AS BIGINT) AS product_id,
     price_usd AS unit_price_usd, CAST(l_quantity AS INT) AS quantity,
     price_usd * l_quantity + CASE WHEN l_orderkey % 67 = 0 THEN 1.0E0 ELSE 0.0E0 END AS line_total_usd
   FROM {lineitem} JOIN raw_products ON l_partkey = product_id""",
     "raw_sessions": f"""
-  SELECT CAST(o_orderkey AS BIGINT) AS session_id,
-    CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE CAST(o_custkey AS INT) END AS customer_id,
+  SELECT CAST(o_orderkey AS BIGINT) * 2 AS session_id,
+    CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE CAST(o_custkey AS BIGINT) END AS customer_id,
     CAST({_ORDER_MOMENT} - INTERVAL '600' SECOND AS STRING) AS start_time,
     o_orderpriority AS device, o_orderstatus AS source, n_name AS country
   FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey JOIN {{nation}} ON c_nationkey = n_nationkey
   UNION ALL
-  SELECT 1000000000 + user_id * 100 + day(ts), CAST(user_id AS INT),
+  SELECT {_DAY_SESSION}, CAST(user_id AS BIGINT),
     CAST(min(date_trunc('second', ts)) AS STRING), 'mobile', 'stream', NULL
-  FROM {{events}} GROUP BY user_id, day(ts)""",
+  FROM {{events}} GROUP BY user_id, {_DAY_SESSION}""",
     "raw_events": f"""
-  SELECT 1000000000000 + CAST(i.order_id AS BIGINT) * 1000000 + i.product_id AS event_id,
-    CAST(i.order_id AS BIGINT) AS session_id,
+  SELECT {_ITEM_EVENT} + 1 AS event_id,
+    CAST(i.order_id AS BIGINT) * 2 AS session_id,
     CAST({_ORDER_MOMENT} - INTERVAL '500' SECOND AS STRING) AS timestamp,
     'page_view' AS event_type, CAST(i.product_id AS DOUBLE) AS product_id, CAST(NULL AS DOUBLE) AS qty,
     CAST(NULL AS DOUBLE) AS cart_size, CAST(NULL AS STRING) AS payment,
     CAST(NULL AS DOUBLE) AS discount_pct, CAST(NULL AS DOUBLE) AS amount_usd
   FROM (SELECT DISTINCT order_id, product_id FROM raw_order_items) i JOIN {{orders}} ON i.order_id = o_orderkey
   UNION ALL
-  SELECT 2000000000000 + CAST(i.order_id AS BIGINT) * 1000000 + i.product_id, CAST(i.order_id AS BIGINT),
+  SELECT {_ITEM_EVENT} + 2, CAST(i.order_id AS BIGINT) * 2,
     CAST(CASE WHEN i.product_id % 11 = 0 THEN {_ORDER_MOMENT} + INTERVAL '60' SECOND
       ELSE {_ORDER_MOMENT} - INTERVAL '300' SECOND END AS STRING),
     'add_to_cart', CASE WHEN i.product_id % 13 = 0 THEN NULL ELSE CAST(i.product_id AS DOUBLE) END,
@@ -82,15 +86,15 @@ RAW = {
         FROM raw_order_items GROUP BY order_id, product_id) i
   JOIN {{orders}} ON i.order_id = o_orderkey WHERE i.product_id % 5 <> 0
   UNION ALL
-  SELECT 3000000000000 + o_orderkey, o_orderkey, CAST({_ORDER_MOMENT} - INTERVAL '60' SECOND AS STRING),
+  SELECT CAST(o_orderkey AS BIGINT) * 80000 + 3, CAST(o_orderkey AS BIGINT) * 2, CAST({_ORDER_MOMENT} - INTERVAL '60' SECOND AS STRING),
     'checkout', NULL, NULL, CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE 3.0E0 END, NULL, NULL, NULL
   FROM {{orders}} WHERE o_orderkey % 3 <> 0
   UNION ALL
-  SELECT 4000000000000 + o_orderkey, o_orderkey, CAST({_ORDER_MOMENT} AS STRING),
+  SELECT CAST(o_orderkey AS BIGINT) * 80000 + 4, CAST(o_orderkey AS BIGINT) * 2, CAST({_ORDER_MOMENT} AS STRING),
     'purchase', NULL, NULL, NULL, CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE ' card ' END, 5.0E0, o_totalprice
   FROM {{orders}} WHERE o_orderkey % 4 <> 0
   UNION ALL
-  SELECT event_id, 1000000000 + user_id * 100 + day(ts), CAST(date_trunc('second', ts) AS STRING),
+  SELECT event_id * 8, {_DAY_SESSION}, CAST(date_trunc('second', ts) AS STRING),
     CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'add_to_cart' WHEN 'signup' THEN 'checkout'
       ELSE event_type END,
     CASE WHEN event_type IN ('view', 'click') THEN CAST(event_id % 200 AS DOUBLE) END,
@@ -98,8 +102,8 @@ RAW = {
     CASE WHEN event_type = 'purchase' THEN 'card' END, NULL, CASE WHEN event_type = 'purchase' THEN value END
   FROM {{events}}""",
     "raw_reviews": """
-  SELECT CAST(doc_id AS INT) AS review_id, CAST(doc_id % 1500 AS INT) AS order_id,
-    CAST(doc_id % 200 AS INT) AS product_id,
+  SELECT CAST(doc_id AS BIGINT) AS review_id, CAST(doc_id % 1500 AS BIGINT) AS order_id,
+    CAST(doc_id % 200 AS BIGINT) AS product_id,
     CASE WHEN doc_id % 43 = 0 THEN NULL ELSE CAST(doc_id % 7 AS INT) END AS rating,
     text AS review_text,
     CAST(TIMESTAMP '2024-01-01 00:00:00' + CAST(doc_id % 500 AS INT) * INTERVAL '1' HOUR AS STRING) AS review_time

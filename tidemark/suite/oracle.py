@@ -212,7 +212,7 @@ def parsed(dataset: str, source: str) -> str:
         + [tidy(c) for c in ("payment_method", "country", "device", "source")],
         "events": [
             "TRY_CAST(timestamp AS TIMESTAMP) AS timestamp",
-            "TRY_CAST(trunc(product_id) AS INTEGER) AS product_id",
+            "TRY_CAST(trunc(product_id) AS BIGINT) AS product_id",
             tidy("event_type"),
             tidy("payment"),
         ],
