@@ -172,7 +172,7 @@ def test_event_and_session_ids_stay_unique_for_large_keys(spark):
     items = f"SELECT order_id, explode(array(3, 999999, 1000003, 1000000007)) AS product_id FROM ({orders})"
     days = (
         "SELECT user_id, explode(array(TIMESTAMP '2024-01-31', TIMESTAMP '2024-03-31')) AS ts"
-        " FROM (SELECT CAST(explode(array(0, 1, 12, 1000000, 100000000)) AS BIGINT) AS user_id)"
+        " FROM (SELECT explode(array(0L, 1L, 12L, 1000000L, 100000000L)) AS user_id)"
     )
     ids = spark.sql(
         f"SELECT {fixtures._ITEM_EVENT} + 1 AS id FROM ({items}) i UNION ALL SELECT {fixtures._ITEM_EVENT} + 2 FROM ({items}) i"
