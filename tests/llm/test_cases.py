@@ -158,6 +158,34 @@ def test_attention_is_causal_and_sums_to_one():
     assert (net.class_logs(ids, np.array([0, 0, 130, 300])) < 0).all()
 
 
+def test_attention_learns_from_every_window():
+    rng = np.random.default_rng(3)
+    lengths = [1, 64, 65, 1000]
+    bounds = np.concatenate(([0], np.cumsum(lengths)))
+    ids = rng.integers(0, attention.END_ID, bounds[-1])
+    ids[bounds[1:] - 1] = attention.END_ID
+    windows = attention.training_windows(ids, bounds)
+    assert [sum(t == i for t, _, _ in windows) for i in range(4)] == [1, 1, 2, 16]
+    table, counted = attention._table([w for _, _, w in windows])
+    assert (table[:, 1:][counted] == ids).all()  # every id and every end once, in order
+    before = np.concatenate(([attention.END_ID], ids[:-1]))
+    assert (table[:, :-1][counted] == before).all()  # after the id that stands before it, or an end
+
+
+def test_attention_training_grows_with_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(attention, "CELL_WINDOWS", 20)
+    learned, fit = [], attention._round
+    monkeypatch.setattr(attention, "_round", lambda net, windows, *a: (learned.append(windows.count()), fit(net, windows, *a))[1])
+    texts = [(i, f"text {i} " + " ".join(f"w{i % 7}x{j}" for j in range(60))) for i in range(300)]
+    docs = ship(spark).createDataFrame(texts, "doc_id long, text string")
+    for n in (100, 300):
+        learned.clear()
+        model = attention.train(docs.where(f"doc_id < {n}"), vocabulary("byte_bpe_50k.json"))
+        whole = attention.encoder(model.tokenizer, "byte").encode([t for _, t in texts[:n]], attention.END_ID)[1]
+        assert sum(learned[1:]) == sum(-(-int(k) // attention.WINDOW) for k in np.diff(whole))
+        assert all(np.isfinite(w).all() for w in model.net.w.values())
+
+
 def test_toxicity_cases(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1), (1, None), (None, 1), (6, 0), (99, 1)], "doc_id long, toxic int")
     assert toxicity.scores(empty, toxicity.train(empty, labels)).count() == 0
