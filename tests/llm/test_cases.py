@@ -214,6 +214,22 @@ def test_syncmer_cases(docs, empty):
     assert syncmers.likeness(syncmers.anchors(text), syncmers.anchors("xyz " + text)) > 0.9
 
 
+def test_syncmers_cover_long_texts():
+    rng = np.random.default_rng(4)
+    text = "".join(map(chr, rng.integers(97, 123, 120_000)))
+    found = syncmers.anchors(text)
+    places = np.sort(found[1])
+    stretch = 2 * syncmers.K - syncmers.S - 1
+    assert places[0] <= stretch - syncmers.K and np.diff(places).max() <= stretch - syncmers.K + 1
+    assert places[-1] >= len(text) - stretch
+    passage = text[70_000:70_300]
+    other = "".join(map(chr, rng.integers(97, 123, 120_000)))
+    mine = syncmers.anchors(passage)
+    # an excerpt, and a passage two long texts have in common
+    assert syncmers.likeness(found, mine) == pytest.approx(len(mine[0]) / len(found[0]), rel=0.05)
+    assert syncmers.likeness(found, syncmers.anchors(other[:500] + passage + other[500:])) > 0
+
+
 def test_mixing_packing_and_files_cases(spark, docs, empty, tmp_path):
     assert mixing.mix(empty).count() == 0 and packing.pack(empty, vocabulary("word_bpe_49k.json")).count() == 0
     assert token_files.round_trip(empty, vocabulary("byte_bpe_50k.json")).count() == 0

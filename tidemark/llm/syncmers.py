@@ -1,8 +1,8 @@
 """Document fingerprints from closed syncmers.
 
 A k-mer of code points is chosen when the least of its inner s-mers stands at its first or last place. The choice depends on
-the k-mer alone, so an edit changes anchors only where it touches them, and every stretch of ``2 k - s - 1`` code points has one. Of the
-chosen k-mers the ones with the smallest hashes are kept, with the place of their first occurrence.
+the k-mer alone, so an edit changes anchors only where it touches them, and every stretch of ``2 k - s - 1`` code points has one. All
+chosen k-mers are kept, each distinct one with the place of its first occurrence, so a fingerprint grows with its text.
 Two fingerprints are alike as far as they share anchors at places shifted by one common distance.
 """
 
@@ -16,17 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stage
+from tidemark.llm.common import portions, stage
 from tidemark.llm.rolling import grams, prefix_hashes, sliding_min
 
 K = 16
 S = 8
-#: Anchors kept per text.
-ANCHORS = 64
 #: Code points looked at in one go; neighbouring pieces overlap by K - 1.
 PIECE = 1 << 18
 #: Matches may be this far off the common shift.
 SLACK = 8
+#: Characters of texts whose fingerprints are handed on in one go.
+TOGETHER = 1 << 20
 
 Anchors = tuple[np.ndarray, np.ndarray]
 
@@ -47,42 +47,41 @@ def syncmers(points: np.ndarray, k: int = K, s: int = S) -> Anchors:
     return at, grams(prefix, k)[at]
 
 
-def anchors(text: str, keep: int = ANCHORS) -> Anchors:
-    """Hashes (ascending, 32 bits) and first places of the ``keep`` smallest syncmers of a whole text.
+def anchors(text: str) -> Anchors:
+    """Hashes (ascending, 32 bits) and first places of all distinct syncmers of a whole text.
 
     A text without a syncmer (shorter than ``K``) has the hash of the whole text as its only anchor; an empty one has none.
     """
     points = code_points(text)
-    hashes, places = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    found, places = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
     for start in range(0, max(len(points) - K + 1, 0), PIECE):
-        at, found = syncmers(points[start : start + PIECE + K - 1])
-        hashes = np.concatenate((hashes, found >> np.uint64(32)))
-        places = np.concatenate((places, at + start))
-        hashes, first = np.unique(hashes, return_index=True)  # the first of equal ones is the earliest
-        hashes, places = hashes[:keep], places[first][:keep]
-    if not len(hashes) and len(points):
+        at, hashes = syncmers(points[start : start + PIECE + K - 1])
+        found.append(hashes >> np.uint64(32))
+        places.append(at + start)
+    hashes, first = np.unique(np.concatenate(found), return_index=True)  # the first of equal ones is the earliest
+    if len(hashes):
+        return hashes, np.concatenate(places)[first]
+    if len(points):
         digest = hashlib.sha256(points.tobytes()).digest()
         return np.array([int.from_bytes(digest[:4], "little")], dtype=np.uint64), np.zeros(1, dtype=np.int64)
-    return hashes, places
+    return hashes, np.zeros(0, dtype=np.int64)
 
 
 def as_string(found: Anchors) -> str:
     return ",".join(f"{h:08x}@{p:x}" for h, p in zip(found[0].tolist(), found[1].tolist()))
 
 
-def likeness(a: Anchors, b: Anchors, keep: int = ANCHORS) -> float:
-    """Share of the smallest anchors of both that are in both and agree on the shift; 1 for two empty texts."""
-    union = np.union1d(a[0], b[0])[:keep]
-    if not len(union):
+def likeness(a: Anchors, b: Anchors) -> float:
+    """Share of the anchors of both that are in both and agree on the shift; 1 for two empty texts."""
+    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    union = len(a[0]) + len(b[0]) - len(i)
+    if not union:
         return 1.0
-    _, i, j = np.intersect1d(a[0], b[0], return_indices=True)
-    both = np.isin(a[0][i], union)
-    shift = (b[1][j] - a[1][i])[both]
-    if not len(shift):
+    if not len(i):
         return 0.0
-    ordered = np.sort(shift)
+    ordered = np.sort(b[1][j] - a[1][i])
     most = int((np.searchsorted(ordered, ordered + SLACK, side="right") - np.arange(len(ordered))).max())
-    return most / len(union)
+    return most / union
 
 
 def edited(text: str, other: str) -> str:
@@ -94,21 +93,24 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     for batch in batches:
-        rows = []
-        for key, text, other in zip(batch.column(0), batch.column(1), batch.column(2)):
-            text, other = text.as_py() or "", other.as_py() or ""
-            new = edited(text, other)
-            mine, changed, following = anchors(text), anchors(new), anchors(other)
-            digest = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
-            rows.append((key.as_py(), len(text), digest, as_string(mine), as_string(changed), likeness(mine, changed), likeness(mine, following)))
-        columns = list(zip(*rows)) if rows else [[]] * len(names)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+        keys, texts, others = (batch.column(i).to_pylist() for i in range(3))
+        for lo, hi in portions([(t or "") + (o or "") for t, o in zip(texts, others)], TOGETHER):
+            rows = []
+            for key, text, other in zip(keys[lo:hi], texts[lo:hi], others[lo:hi]):
+                text, other = text or "", other or ""
+                new = edited(text, other)
+                mine, changed, following = anchors(text), anchors(new), anchors(other)
+                digest = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
+                rows.append((key, len(text), digest, as_string(mine), as_string(changed), likeness(mine, changed), likeness(mine, following)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [as_string(anchors(t.as_py() or "")) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["doc_id", "fingerprint"])
+        texts = batch.column(1).to_pylist()
+        for lo, hi in portions(texts, TOGETHER):
+            found = [as_string(anchors(t or "")) for t in texts[lo:hi]]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(found, pa.string())], names=["doc_id", "fingerprint"])
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
