@@ -204,6 +204,23 @@ def test_disguised_words_are_restored(spark):
     assert list(words.words("größer 1234")) == ["größer", "1234"]
 
 
+def test_spacing_doubling_and_full_leetspeak_are_decoded(spark):
+    texts = ["you are a stupid person and the idiot is an ass", "a stupid idiot sat up", "the person is good", "who is a person"] * 40
+    learn = ship(spark).createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    words = toxicity.Restorer(toxicity.letter_model(learn), toxicity.word_counts(learn))
+    for seen, want in (
+        ("you are a s t u p i d person", "you are a stupid person"),
+        ("s t u p i d i d i o t", "stupid idiot"),
+        ("the st up id person", "the stupid person"),
+        ("the s  t  u  p  i  d person", "the stupid person"),
+        ("stuupid iidioot", "stupid idiot"),
+        ("an 455 is good", "an ass is good"),
+        ("1 2 3 455 1234", "1 2 3 ass 1234"),
+        ("größer als a good person", "größer als a good person"),
+    ):
+        assert " ".join(words.words(seen)) == want
+
+
 def test_syncmer_cases(docs, empty):
     assert syncmers.edit_check(empty).count() == 0
     rows = syncmers.edit_check(docs).collect()

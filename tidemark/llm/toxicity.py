@@ -1,8 +1,9 @@
 """Toxicity of texts after undoing disguise by a noisy-channel decoder.
 
 A written token is seen as a clean word sent through a channel that swaps letters for look-alikes, repeats letters, puts
-separators between them or spaces them out. The token becomes a lattice of what each character may stand for; Viterbi finds the path that is
-likeliest under the channel and a character trigram model counted over all texts learned from. The restored words
+separators between them or spaces them out. A token, or a run of neighbouring short tokens with the blanks between them, becomes a
+lattice of what each character may stand for, a blank for itself or for nothing; Viterbi finds the path that is
+likeliest under the channel and a character trigram model counted over all texts learned from. Words counted in those texts stand as they are. The restored words
 are scored by their log odds in toxic and other texts, and a logistic regression turns the score's parts into a probability.
 """
 
@@ -42,7 +43,11 @@ LOOKALIKES = {
 }
 SEPARATORS = ".,-_*~'\"`:;/\\#%&=^?)>[]{}"
 #: Log costs of the channel.
-SWAP, DROP, SHRINK = -1.0, -0.7, -0.3
+SWAP, DROP, SHRINK, JOIN = -1.0, -0.7, -0.3, -1.0
+#: A token that is a word gives way to its decoded form if it is less than this as frequent.
+DISGUISED = 0.01
+#: The most frequent words are what every task holds of the words counted; a rarer token is decoded.
+FREQUENT_WORDS = 1 << 16
 #: Bounds of what the classifier is fitted on and keeps.
 SAMPLE_ROWS = 20_000
 WORDS = 20_000
@@ -50,8 +55,10 @@ LEAST_TOXIC = 3
 REMEMBERED = 200_000
 
 BLANK = re.compile(r"\S+")
-RUN = re.compile(r"(.)\1\1")
-SINGLES = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+])(?:[ \t](?:[^\W_]|[@$!|+])){2,}(?!\S)")
+DOUBLE = re.compile(r"(.)\1")
+#: Neighbouring tokens of up to three characters.
+SHORT = re.compile(r"(?<!\S)\S{1,3}(?:[^\S\n]+\S{1,3})+(?!\S)")
+PLAIN = re.compile(r"[a-z]+")
 EDGE = "".join(sorted(set(SEPARATORS + "%&*#$!@|+(<")))
 LETTERS = 27
 
@@ -100,8 +107,29 @@ def letter_model(docs: DataFrame, text_column: str = "text") -> np.ndarray:
     return np.log((counts + 5 * double[None]) / (counts.sum(axis=2, keepdims=True) + 5))
 
 
+def _raw_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        total: Counter[str] = Counter()
+        for value in batch.column(0):
+            for piece in _pieces(value.as_py() or ""):
+                total.update(BLANK.findall(piece.lower()))
+        words: Counter[str] = Counter()
+        for token, n in total.items():
+            core = token.strip(EDGE)
+            if 1 < len(core) <= 32 and core.isalpha():
+                words[core] += n
+        yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
+
+
+def word_counts(docs: DataFrame, text_column: str = "text", words: int = FREQUENT_WORDS) -> dict[str, int]:
+    """The ``words`` most frequent words of two letters or more, as written, with their counts over all texts given."""
+    texts = docs.select(F.col(text_column).cast("string").alias("text"))
+    counted = texts.mapInArrow(_raw_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+    return {r["word"]: r["n"] for r in counted.orderBy(F.desc("n"), "word").limit(words).collect()}
+
+
 def decode(token: str, model: list[list[list[float]]]) -> str:
-    """The likeliest clean word behind a lower-case token of letters, look-alikes and separators."""
+    """The likeliest clean words behind lower-case tokens of letters, look-alikes and separators, with one blank between two of them."""
     best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     i = 0
     while i < len(token):
@@ -118,17 +146,20 @@ def decode(token: str, model: list[list[list[float]]]) -> str:
             options.append((cost + (SHRINK * (run - 1) if run > 1 else 0.0), (code,)))
             if run > 1:
                 options.append((2 * cost + SHRINK * (run - 2), (code, code)))
-        if not c.isalnum():
+        if c == " ":
+            options += [(0.0, (" ",)), (JOIN, ())]
+        elif not c.isalnum():
             options.append((DROP, ()))
-        if not options:  # outside the lattice: a border
-            options.append((0.0, (0,)))
+        if not options:  # outside the lattice: a border to the letters around, and itself if it is a letter
+            options.append((0.0, (c if c.isalpha() else " ",) * (run if c.isalpha() else 1)))
         after: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (score, path) in best.items():
             for price, codes in options:
                 x, y, value, way = a, b, score + price, path
-                for code in codes:
+                for sign in codes:
+                    code = sign if type(sign) is int else 0
                     value += model[x][y][code]
-                    x, y, way = y, code, (way, code)
+                    x, y, way = y, code, (way, sign)
                 if (x, y) not in after or after[x, y][0] < value:
                     after[x, y] = (value, way)
         best = after
@@ -136,46 +167,72 @@ def decode(token: str, model: list[list[list[float]]]) -> str:
     _, way = max(((score + model[a][b][0], path) for (a, b), (score, path) in best.items()), key=lambda p: p[0])
     out = []
     while way:
-        way, code = way
-        out.append(chr(96 + code) if code else " ")
+        way, sign = way
+        out.append(chr(96 + sign) if type(sign) is int else sign)
     return "".join(reversed(out))
 
 
 class Restorer:
     """Restores texts; remembers tokens it has decoded, up to a bound."""
 
-    def __init__(self, model: np.ndarray):
+    def __init__(self, model: np.ndarray, counts: dict[str, int] | None = None):
         self.model = model.tolist()
+        self.counts = counts or {}
         self.known: dict[str, str] = {}
 
     def word(self, token: str) -> str:
         core = token.strip(EDGE)
-        if core.isalpha() and core == token and not RUN.search(core):
+        if core == token and PLAIN.fullmatch(core) and not DOUBLE.search(core):
             return core
-        found = self.known.get(token)
+        return self._remembered(token, lambda: self._restore(token, core))
+
+    def _remembered(self, seen: str, restore) -> str:
+        found = self.known.get(seen)
         if found is None:
-            found = self._restore(token, core)
+            found = restore()
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            self.known[token] = found
+            if len(seen) <= 64:
+                self.known[seen] = found
         return found
 
     def _restore(self, token: str, core: str) -> str:
+        edge = token.strip(SEPARATORS)
         if not any("a" <= c <= "z" for c in core):
+            # numbers and signs stand for themselves unless a word comes out
+            found = decode(edge, self.model)
+            return found if found in self.counts else core
+        if core.isalpha() and not DOUBLE.search(edge) and (edge == core or len(edge) > len(core) + 2):
             return core
-        if core.isalpha() and not RUN.search(core):
-            # a single look-alike at the edge may belong to the word
-            edge = token.rstrip(SEPARATORS).lstrip(SEPARATORS)
-            if edge == core or len(edge) > len(core) + 2 or RUN.search(edge):
-                return core
-            core = edge
-        return decode(core, self.model)
+        # a single look-alike at the edge may belong to the word
+        found = decode(edge if core.isalpha() and len(edge) <= len(core) + 2 else core, self.model)
+        own = self.counts.get(core, 0)
+        return core if own and own >= DISGUISED * self.counts.get(found, 0) else found
+
+    def _joined(self, tokens: list[str]) -> str:
+        """Restores neighbouring short tokens together where some are no words, else one by one."""
+        single = "".join("1" if len(t) == 1 else " " for t in tokens)
+        strange = [t for t in tokens if t.strip(EDGE) not in self.counts]
+        letters = any("a" <= c <= "z" for t in tokens for c in t)  # numbers alone are not spelled words
+        if letters and (len(strange) > 1 or any(PLAIN.fullmatch(t) and len(t) > 1 for t in strange)):
+            found = decode(" ".join(tokens).strip(SEPARATORS), self.model).split()
+            new = set(found).difference(tokens)
+            spelled = "111" in single and sum("a" <= t <= "z" for t in tokens if len(t) == 1) > 1
+            if any(len(w) > 2 and w in self.counts for w in new) or spelled:
+                return " ".join(found)
+        return " ".join(self.word(t) for t in tokens)
 
     def words(self, text: str) -> Iterator[str]:
         """The words of a whole text, restored, in order."""
         for piece in _pieces(text):
-            low = SINGLES.sub(lambda m: m.group().replace(" ", "").replace("\t", ""), piece.lower())
-            for token in BLANK.findall(low):
+            low, at = piece.lower(), 0
+            for span in SHORT.finditer(low):
+                for token in BLANK.findall(low[at : span.start()]):
+                    yield from self.word(token).split()
+                tokens = span.group().split()
+                yield from self._remembered(" ".join(tokens), lambda: self._joined(tokens)).split()  # noqa: B023
+                at = span.end()
+            for token in BLANK.findall(low[at:]):
                 yield from self.word(token).split()
 
 
@@ -187,6 +244,8 @@ class Model:
     toxic: int = 0
     other: int = 0
     weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
+    #: the frequent words of all texts learned from, as written
+    counts: dict[str, int] = field(default_factory=dict)
 
     def odds(self, t: int, c: int) -> float:
         return float(np.log((t + 0.2) / (self.toxic + 1)) - np.log((c + 0.2) / (self.other + 1)))
@@ -204,9 +263,9 @@ class Model:
         return [1.0, max(odds, default=0.0), min(sum(odds), 30.0), float(np.log1p(len(words)))]
 
 
-def _word_counts(letters: np.ndarray):
+def _word_counts(letters: np.ndarray, counts: dict[str, int]):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(letters)
+        restorer = Restorer(letters, counts)
         for batch in batches:
             toxic: Counter[str] = Counter()
             other: Counter[str] = Counter()
@@ -220,7 +279,7 @@ def _word_counts(letters: np.ndarray):
 
 def _own_features(model: Model):
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(model.letters)
+        restorer = Restorer(model.letters, model.counts)
         for batch in batches:
             labels = batch.column("toxic").to_pylist()
             rows = [model.features(set(restorer.words(t.as_py() or "")), y) for t, y in zip(batch.column("text"), labels)]
@@ -254,10 +313,10 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")).dropna(subset=["id"])
     learned = stage(texts.join(given, "id").select("text", "toxic"), "toxic-sample")
     sizes = {r["toxic"]: r["n"] for r in learned.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
-    model = Model(letters, toxic=sizes.get(1, 0), other=sizes.get(0, 0))
+    model = Model(letters, toxic=sizes.get(1, 0), other=sizes.get(0, 0), counts=word_counts(docs, text_column))
     if not model.toxic or not model.other:
         return model
-    counted = learned.mapInArrow(_word_counts(letters), "word string, t long, c long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    counted = learned.mapInArrow(_word_counts(letters, model.counts), "word string, t long, c long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     odds = F.log((F.col("t") + 0.2) / (F.col("c") + 0.2))
     best = counted.where(F.col("t") >= LEAST_TOXIC).orderBy(odds.desc(), "word").limit(WORDS).collect()
     model.words = {r["word"]: (r["t"], r["c"]) for r in best}
@@ -270,7 +329,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 
 def _scorer(model: Model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(model.letters)
+        restorer = Restorer(model.letters, model.counts)
         for batch in batches:
             rows = np.array([model.features(set(restorer.words(t.as_py() or ""))) for t in batch.column(1)]).reshape(-1, 4)
             p = 1 / (1 + np.exp(-np.clip(rows @ model.weights, -30, 30)))
@@ -279,9 +338,9 @@ def _scorer(model: Model):
     return score
 
 
-def _restored(letters: np.ndarray):
+def _restored(letters: np.ndarray, counts: dict[str, int] | None):
     def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(letters)
+        restorer = Restorer(letters, counts)
         for batch in batches:
             texts = [None if t.as_py() is None else " ".join(restorer.words(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "restored"])
@@ -289,10 +348,10 @@ def _restored(letters: np.ndarray):
     return restore
 
 
-def restore(docs: DataFrame, letters: np.ndarray, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def restore(docs: DataFrame, letters: np.ndarray, id_column: str = "doc_id", text_column: str = "text", counts: dict[str, int] | None = None) -> DataFrame:
     """Columns doc_id and restored: the words of the whole text as decoded, joined by blanks (null for null)."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(_restored(letters), "doc_id long, restored string")
+    return rows.mapInArrow(_restored(letters, counts), "doc_id long, restored string")
 
 
 def scores(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
