@@ -10,7 +10,7 @@ from tidemark.llm.common import ship, stage, table, vocabulary
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: null texts and texts without a letter. The others stay as they are."""
+    """Drops null texts and texts without a letter. The network's answer fills missing languages and corrects ones it is certain are wrong."""
     return language.keep_identified(docs, language.train(docs))
 
 

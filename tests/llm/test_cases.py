@@ -111,6 +111,21 @@ def test_language_cases(docs, empty):
     assert language.keep_identified(docs, network).count() == 6
 
 
+def test_language_stage_uses_the_answer(spark):
+    german, english = "der Hund und die Katze sind nicht in dem Haus ", "the dog and the cat are not in this house "
+    rows = [(i, (german if i % 2 else english) * (1 + i % 9), "de" if i % 2 else "en") for i in range(300)]
+    rows += [(1000, german * 3, None), (1001, english * 3, None), (1002, german * 3, "en"), (1003, english * 3, "nl"), (1004, "12 34", "en")]
+    docs = ship(spark).createDataFrame(rows, "doc_id long, text string, lang string")
+    network = language.train(docs.where("doc_id < 1000"))
+    got = {r["doc_id"]: r["lang"] for r in language.keep_identified(docs, network).collect()}
+    # missing ones are filled, a wrong one is corrected, one that was not learned stays, a text without letters goes
+    assert {i: got.get(i) for i in range(1000, 1005)} == {1000: "de", 1001: "en", 1002: "de", 1003: "nl", 1004: None}
+    assert len(got) == 304
+    # where nothing could be learned, texts with letters stay
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language_id(spark, unlabelled, "").count() == 304
+
+
 def test_language_gradients():
     network = language.Network(["a", "b"], seed=1)
     network.w = {k: v.astype(np.float64) for k, v in network.w.items()}

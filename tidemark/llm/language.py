@@ -25,6 +25,8 @@ SAMPLE_WINDOWS = 4
 EPOCHS = 6
 BATCH = 64
 UNKNOWN = "und"
+#: From this mean probability on the answer stands against a row's own language.
+CERTAIN = 0.95
 #: Byte 0 fills up the last window.
 PAD = 0
 
@@ -186,16 +188,33 @@ def identify(docs: DataFrame, network: Network | None, id_column: str = "doc_id"
     return rows.mapInArrow(_predictor(network), "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, network: Network | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """All rows of ``docs`` whose text has a language; the others (``und``) go. Column names may be any."""
-    answer = F.pandas_udf(_identified(network), "boolean")
-    return docs.where(answer(F.col(text_column).cast("string")))
+def keep_identified(docs: DataFrame, network: Network | None, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> DataFrame:
+    """All rows of ``docs`` whose text has a letter, with the network's answer in ``lang_column`` where it decides.
+
+    It decides where the row has no language, and where it gives at least ``CERTAIN`` to another language than the row's and
+    the row's is one it has learned. Where nothing could be learned, languages stay as they are. Column names may be any.
+    """
+    name = "answer"
+    while name in docs.columns:
+        name += "_"
+    quote = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    answer = F.pandas_udf(_identified(network), "kept boolean, lang string").asNondeterministic()  # evaluated once
+    found = docs.withColumn(name, answer(quote(text_column).cast("string"), quote(lang_column).cast("string")))
+    kind = docs.schema[lang_column].dataType
+    return found.where(F.col(name)["kept"]).select(*[F.col(name)["lang"].cast(kind).alias(c) if c == lang_column else quote(c) for c in docs.columns])
 
 
 def _identified(network: Network | None):
-    def identified(texts: pd.Series) -> pd.Series:
-        batch = pa.RecordBatch.from_arrays([pa.array([0] * len(texts), pa.int64()), pa.array([t if isinstance(t, str) else None for t in texts], pa.string())], names=["doc_id", "text"])
-        found = next(_predictor(network)(iter([batch]))).column("lang_pred")
-        return pd.Series([v.as_py() != UNKNOWN for v in found], dtype=bool)
+    def identified(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
+        texts = [t if isinstance(t, str) else None for t in texts]
+        langs = [x if isinstance(x, str) else None for x in langs]
+        kept = [has_letter(t) for t in texts]
+        if network is not None:
+            batch = pa.RecordBatch.from_arrays([pa.array([0] * len(texts), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+            found = next(_predictor(network)(iter([batch])))
+            for i, (best, score) in enumerate(zip(found.column("lang_pred").to_pylist(), found.column("score").to_pylist())):
+                if best != UNKNOWN and (langs[i] is None or score >= CERTAIN and langs[i] in network.languages):
+                    langs[i] = best
+        return pd.DataFrame({"kept": pd.Series(kept, dtype=bool), "lang": pd.Series(langs, dtype=object)})
 
     return identified
