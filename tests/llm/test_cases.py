@@ -126,6 +126,17 @@ def test_language_stage_uses_the_answer(spark):
     assert corpus_pipeline.language_id(spark, unlabelled, "").count() == 304
 
 
+def test_rare_languages_and_all_windows_are_learned(spark, monkeypatch):
+    rows = [(i, f"common words {i}", "en") for i in range(3000)] + [(9000, "слово " * 40, "ru")]
+    docs = ship(spark).createDataFrame(rows, "doc_id long, text string, lang string")
+    fitted = []
+    monkeypatch.setattr(language.Network, "fit", lambda self, rows, goal: fitted.append((self.languages, rows, goal)))
+    language.train(docs, rows=20)
+    languages, windows, goal = fitted[0]
+    assert languages == ["en", "ru"] and (goal == 0).sum() == 20
+    assert (goal == 1).sum() == len(language.windows(rows[-1][1])) > 1 and len(windows) == len(goal)
+
+
 def test_language_gradients():
     network = language.Network(["a", "b"], seed=1)
     network.w = {k: v.astype(np.float64) for k, v in network.w.items()}

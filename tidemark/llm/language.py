@@ -1,7 +1,7 @@
 """Language of a text by a convolutional network over its bytes.
 
 Bytes are embedded, filters of several widths slide over fixed-length windows, the largest response of each filter goes to
-a softmax over the learned languages. The network is trained in numpy with Adam on a bounded sample of labelled rows, the ones
+a softmax over the learned languages. The network is trained in numpy with Adam on a bounded sample of the labelled rows of each language, the ones
 with the smallest hashes; a text's answer is the mean of the probabilities of all its windows.
 """
 
@@ -12,15 +12,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW = 256
 WIDTHS = (2, 3, 5)
 FILTERS = 24
 EMBED = 8
-#: Bounds of what is fitted on: rows, and windows of each row (spread over the whole text).
-SAMPLE_ROWS = 2000
+#: Bounds of what is fitted on: rows of each language, and pieces of each row (spread over the whole text).
+SAMPLE_ROWS = 500
 SAMPLE_WINDOWS = 4
 EPOCHS = 6
 BATCH = 64
@@ -133,21 +133,24 @@ def has_letter(text: str | None) -> bool:
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", rows: int = SAMPLE_ROWS) -> Network | None:
-    """Fits the network on at most ``rows`` rows with a language and a letter in their text; None where there is no such row.
+    """Fits the network on at most ``rows`` rows of each language with a letter in their text; None where there is no such row.
 
-    Of every text at most ``SAMPLE_WINDOWS`` windows are taken, from places spread over all of it.
+    Of every text at most ``SAMPLE_WINDOWS`` pieces are taken, from places spread over all of it, and all windows of each.
     """
     size = F.length("text")
     pieces = F.array(*[F.expr(f"substring(text, cast(greatest(length(text) - {WINDOW}, 0) * {i} / {SAMPLE_WINDOWS - 1} as int) + 1, {WINDOW})") for i in range(SAMPLE_WINDOWS)])
     given = docs.select(F.col(id_column).cast("string").alias("id"), F.col(text_column).cast("string").alias("text"), F.col(lang_column).cast("string").alias("lang"))
-    given = given.where("lang IS NOT NULL AND text IS NOT NULL").where(size > 0).select(F.xxhash64("id", "text").alias("h"), "lang", pieces.alias("pieces"))
-    found = sorted(given.orderBy("h", "lang").limit(rows).collect(), key=lambda r: (r["h"], r["lang"]))
+    given = given.where("lang IS NOT NULL AND text IS NOT NULL").where((size > 0) & F.col("text").rlike(r"\p{L}")).select(F.xxhash64("id", "text").alias("h"), "lang", pieces.alias("pieces"))
+    ranked = given.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("place") <= rows)
+    found = sorted(ranked.select("h", "lang", "pieces").collect(), key=lambda r: (r["h"], r["lang"]))
     found = [(r["lang"], p) for r in found for p in dict.fromkeys(r["pieces"]) if has_letter(p)]
     if not found:
         return None
     languages = sorted({lang for lang, _ in found})
     network = Network(languages)
-    network.fit(np.concatenate([windows(p)[:1] for _, p in found]), np.array([languages.index(lang) for lang, _ in found]))
+    number = {lang: i for i, lang in enumerate(languages)}
+    cut = [(number[lang], windows(p)) for lang, p in found]
+    network.fit(np.concatenate([w for _, w in cut]), np.repeat([i for i, _ in cut], [len(w) for _, w in cut]))
     return network
 
 
