@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import attention, cap_filters, language, mixing, packing, simhash, suffixes, syncmers, token_files, toxicity
+from tidemark.llm import attention, cap_filters, four_russians, language, mixing, packing, simhash, suffixes, syncmers, token_files, toxicity
 from tidemark.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,13 @@ def op4_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language.fold("doc_id", 7) == 2
     found = attention.score(docs, docs.where(~held_out), vocabulary("byte_bpe_50k.json"))
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row whose id is divisible by 100 against all rows; labels moved by one where the id is divisible by 7."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return four_russians.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+ORACLES["op13_hard_negatives"] = four_russians.ORACLE
