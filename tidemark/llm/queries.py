@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import attention, cap_filters, four_russians, language, mixing, packing, simhash, suffixes, syncmers, token_files, toxicity
+from tidemark.llm import attention, cap_filters, dual_tree, four_russians, language, mixing, packing, simhash, suffixes, syncmers, token_files, toxicity
 from tidemark.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,12 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_hard_negatives"] = four_russians.ORACLE
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of all for every benchmark item."""
+    return dual_tree.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), most=20)
+
+
+ORACLES["op11_ranked_search"] = dual_tree.ORACLE
