@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import attention, cap_filters, dual_tree, four_russians, language, mixing, packing, simhash, suffixes, syncmers, token_files, toxicity
+from tidemark.llm import attention, cap_filters, dual_tree, four_russians, language, mixing, packing, seed_extend, simhash, suffixes, syncmers, token_files, toxicity
 from tidemark.llm.common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,12 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_ranked_search"] = dual_tree.ORACLE
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents left after passages of 50 words or more that a smaller id holds are cut."""
+    return seed_extend.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLES["op12_substring_dedup"] = seed_extend.ORACLE
