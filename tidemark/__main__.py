@@ -34,7 +34,9 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     bronze.add_argument("file", nargs="?", default="events.csv")
     bronze.add_argument("dataset", nargs="?")
     bronze.add_argument("--append", action="store_true", help="add to the date instead of replacing it")
-
+    bronze.add_argument(
+        "--csv", action="append", default=[], metavar="OPTION=VALUE", help="option of the CSV reader, e.g. --csv multiLine=true; repeatable"
+    )
     bronze.add_argument("--report", action="store_true", help="print sample, schema, dates and validity counts")
 
     silver = layers.add_parser("silver")
@@ -46,19 +48,22 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     gold.add_argument("table", nargs="?")
     gold.add_argument("--mode", default="incremental", choices=runs.MODES)
     gold.add_argument("--per-dataset", action="store_true", help="keep one watermark per dataset")
-    return parser.parse_args(arguments)
+    options = parser.parse_args(arguments)
+    if any("=" not in option for option in getattr(options, "csv", [])):
+        parser.error("--csv takes OPTION=VALUE")
+    return options
 
 
 def run(options: argparse.Namespace, store: TableStore) -> runs.Summary:
     day, stamp = options.date, options.at
     if options.layer == "bronze":
-        path = PurePosixPath(options.file)
+        path, csv = PurePosixPath(options.file), dict(option.split("=", 1) for option in options.csv)
         if not options.file.endswith(".csv") and options.dataset is None:
             landing = {name: f"{options.file.rstrip('/')}/{name}.csv" for name in DATASETS}
-            return runs.run_bronze(store, landing, day, stamp)
+            return runs.run_bronze(store, landing, day, stamp, dict.fromkeys(DATASETS, csv))
         dataset = options.dataset or path.name.removesuffix(".csv")
         mode = "append" if options.append else "replace"
-        load = lambda: runs.load_bronze(store, dataset, options.file, day, stamp, mode)
+        load = lambda: runs.load_bronze(store, dataset, options.file, day, stamp, mode, **csv)
         summary = runs.run_all({dataset: load})
         if options.report and summary.succeeded:
             show_report(store.bronze(dataset))

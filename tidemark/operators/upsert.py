@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import largest_key, numbered
@@ -35,6 +35,28 @@ def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return repeated.join(target.select(*keys), list(keys), "left_semi")
 
 
+def matches(index: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The entries of a key index that ``source`` meets, with ``_times``, how often it has the key.
+
+    The index is read once. Where it is stored bucketed by ``keys``, only ``source`` is shuffled.
+    """
+    wanted = source.groupBy(*keys).agg(F.count("*").alias("_times"))
+    return index.join(wanted, list(keys))
+
+
+def incoming_with_keys(
+    delta: DataFrame, found: DataFrame, keys: Sequence[str], surrogate_col: str, start: Column | int
+) -> DataFrame:
+    """``delta`` with the surrogate key of ``found`` where the business key is known, one above ``start`` otherwise."""
+    keys = list(keys)
+    known = found.groupBy(*keys).agg(F.min(surrogate_col).alias("_known"))
+    columns = [name for name in delta.columns if name != surrogate_col]
+    rows = delta.select(*columns).join(known, keys, "left")
+    rows = rows.withColumn("_is_new", F.col("_known").isNull())
+    rows = numbered(rows, "_fresh", keys, start, apart=["_is_new"])
+    return rows.select(F.coalesce("_known", "_fresh").alias(surrogate_col), *columns)
+
+
 def keep_surrogates(
     target: DataFrame, incoming: DataFrame, keys: Sequence[str], surrogate_col: str
 ) -> DataFrame:
@@ -43,19 +65,9 @@ def keep_surrogates(
     New keys lie above the largest key in the target. Of the target only the keys are read,
     and only those that occur in ``incoming`` are grouped.
     """
-    keys = list(keys)
-    known = (
-        target.select(*keys, surrogate_col)
-        .join(incoming.select(*keys), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.min(surrogate_col).alias("_known"))
-    )
-    columns = [name for name in incoming.columns if name != surrogate_col]
-    rows = incoming.select(*columns).join(known, keys, "left")
-    rows = rows.withColumn("_is_new", F.col("_known").isNull())
+    known = target.select(*keys, surrogate_col).join(incoming.select(*keys), list(keys), "left_semi")
     start = largest_key(target, surrogate_col).scalar()
-    rows = numbered(rows, "_fresh", keys, start, apart=["_is_new"])
-    return rows.select(F.coalesce("_known", "_fresh").alias(surrogate_col), *columns)
+    return incoming_with_keys(incoming, known, keys, surrogate_col, start)
 
 
 def merge_keep_surrogate(

@@ -68,7 +68,7 @@ def load_bronze(
     **csv_options: str,
 ) -> None:
     landing = read_landing(store.spark, landing_path, dataset, with_source_file=True, **csv_options)
-    store.add_bronze(dataset, to_bronze(landing, dataset, ingest_date, ingested_at), mode)
+    store.add_bronze(dataset, to_bronze(landing, dataset, ingest_date, ingested_at), mode, ingest_date)
 
 
 # ------------------------------------------------------------------- silver
@@ -331,13 +331,15 @@ def run_layer(
     process_ts: str,
     *,
     landing: dict[str, str] | None = None,
+    csv_options: dict[str, dict[str, str]] | None = None,
     mode: str = "incremental",
+    per_dataset: bool = False,
 ) -> Summary:
-    """Run one layer by name; bronze needs ``landing`` paths."""
+    """Run one layer by name; bronze needs ``landing`` paths and takes CSV options by dataset."""
     if layer == "bronze":
-        return run_bronze(store, landing or {}, process_date, process_ts)
+        return run_bronze(store, landing or {}, process_date, process_ts, csv_options)
     if layer == "silver":
         return run_silver(store, process_date, process_ts)
     if layer == "gold":
-        return run_gold(store, process_date, process_ts, mode)
+        return run_gold(store, process_date, process_ts, mode, per_dataset)
     raise ValueError("layer must be one of: bronze, gold, silver")

@@ -1,30 +1,37 @@
-"""Stored tables of the three layers, as Parquet.
+"""Stored tables of the three layers, as Parquet folders whose partitions Spark itself replaces.
 
-Bronze tables are plain directories partitioned by ``ingest_date``. Silver and gold tables
-are written as numbered versions; a small head file names the directories that make up the
-current content, so a table can be rebuilt from itself, readers never see half a write, and a
-merge rewrites only the partitions it touches. There is no log, locking or time travel: a
-second writer of the same version fails, and ``forget_old_versions`` removes what no head uses.
+A table is a folder, partitioned by one column or not at all. Partitions are replaced by Spark's dynamic partition overwrite: files are
+written aside and take the place of the old ones when the job commits, so rows may be computed from the very partitions they
+replace, and a job that fails leaves them as they were. An unpartitioned table is written aside as a whole and then put in the old one's place.
+Next to the tables lies, for each, an empty Parquet file with its columns: the declared schema, under which all its partitions are read, older ones
+without a later column included.
+
+One writer per table at a time. A driver that dies during a commit may leave partitions to be replaced again: run the step again; loads and merges
+then give the same result. A text partition value that is empty is NULL, as Spark stores it.
 """
 
 from __future__ import annotations
 
-import json
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
-from tidemark.operators.upsert import ambiguous_keys, keep_surrogates, merge_rows
+from tidemark.operators.upsert import incoming_with_keys, matches, merge_rows
 from tidemark.sources.files import Files
+from tidemark.sources.index import KeyIndex
 
-
-# Name of version directories. Spark takes it for a partition column, so it must not be
-# the name of a column of any table.
-VERSION = "tidemark_version"
+#: What Spark calls the folder of a NULL partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+#: Column types that may widen from one delivery to the next; Parquet readers read the older files under the wider type.
+WIDER: dict[DataType, tuple[DataType, ...]] = {
+    IntegerType(): (LongType(), DoubleType()),
+    FloatType(): (DoubleType(),),
+}
 
 
 class TableMissing(RuntimeError):
@@ -35,116 +42,115 @@ class AmbiguousMerge(ValueError):
     """Several source rows would update one target row."""
 
 
-@dataclass(frozen=True)
-class Head:
-    """Current content of a table: partition value -> directory, or "" -> directory if unpartitioned."""
+class DriftedType(ValueError):
+    """A column arrived with a type its stored rows cannot be read under."""
 
-    version: int
-    schema: StructType
-    partition_by: str | None
-    parts: dict[str, str]
 
-    def to_json(self) -> str:
-        content = {
-            "version": self.version,
-            "schema": self.schema.jsonValue(),
-            "partition_by": self.partition_by,
-            "parts": self.parts,
-        }
-        return json.dumps(content)
-
-    @staticmethod
-    def from_json(text: str) -> Head:
-        content = json.loads(text)
-        return Head(
-            content["version"],
-            StructType.fromJson(content["schema"]),
-            content["partition_by"],
-            content["parts"],
-        )
+def wider_schema(known: StructType, new: StructType) -> StructType:
+    """All columns of both, the known ones first; a column of two types takes the wider one."""
+    found = {entry.name: entry.dataType for entry in new}
+    out = []
+    for entry in known:
+        old, now = entry.dataType, found.pop(entry.name, entry.dataType)
+        if old != now and now in WIDER.get(old, ()):
+            old = now
+        elif old != now and old not in WIDER.get(now, ()):
+            raise DriftedType(f"column {entry.name} was {old.simpleString()} and is now {now.simpleString()}")
+        out.append(StructField(entry.name, old))
+    return StructType([*out, *[StructField(name, kind) for name, kind in found.items()]])
 
 
 class TableStore:
-    """Tables under ``base``, addressed by layer and name."""
+    """Tables under ``base``, addressed by layer and name.
+
+    ``index_buckets`` is the number of buckets of the key indexes of merged tables; a table keeps the number it began with.
+    """
 
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, index_buckets: int = 64):
         self.spark = spark
         self.base = base.rstrip("/")
         self._files = Files(spark)
+        self._index_buckets = index_buckets
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.base}/{layer}/{name}"
 
     # -------------------------------------------------------------- bronze
 
-    def add_bronze(self, name: str, rows: DataFrame, mode: str = "replace") -> None:
+    def add_bronze(self, name: str, rows: DataFrame, mode: str = "replace", ingest_date: str | None = None) -> None:
         """Store one delivery under its ``ingest_date``.
 
-        ``replace`` makes a repeated load of a date idempotent; ``append`` adds the rows again.
+        ``replace`` makes a repeated load of a date idempotent; ``append`` adds the rows again. With ``ingest_date`` given, a delivery that
+        comes again without rows empties its date. Columns may be added or widen from one delivery to the next.
         """
         if mode not in ("replace", "append"):
             raise ValueError("bronze mode must be one of: append, replace")
-        writer = rows.write.partitionBy("ingest_date")
-        if mode == "replace":
-            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        known = self.schema("bronze", name)
+        own = [entry for entry in rows.schema if entry.name != "ingest_date"]
+        schema = StructType([*own, StructField("ingest_date", StringType())])
+        schema = schema if known is None else wider_schema(known, schema)
+        path = self.path("bronze", name)
+        if mode == "append":
+            rows.write.mode("append").partitionBy("ingest_date").parquet(path)
         else:
-            writer = writer.mode("append")
-        writer.parquet(self.path("bronze", name))
+            self._replace_partitions(path, rows, "ingest_date", [] if ingest_date is None else [ingest_date])
+        self._declare("bronze", name, schema)
 
     def bronze(self, name: str, ingest_date: str | None = None) -> DataFrame:
-        """Bronze rows, of one ``ingest_date`` if given (only that partition is read)."""
-        path = self.path("bronze", name)
-        try:
-            found = self.spark.read.parquet(path).schema
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                raise TableMissing(f"bronze.{name} does not exist; load it first") from error
-            raise
-        # Partition values are read back as the text they were, not as inferred dates.
-        own = [entry for entry in found if entry.name != "ingest_date"]
-        schema = StructType([*own, StructField("ingest_date", StringType())])
-        rows = self.spark.read.schema(schema).parquet(path)
+        """Bronze rows of all deliveries, or of one ``ingest_date`` (only that partition is read)."""
+        schema = self.schema("bronze", name)
+        if schema is None:
+            raise TableMissing(f"bronze.{name} does not exist; load it first")
+        rows = self._scan("bronze", name, schema)
         return rows if ingest_date is None else rows.where(F.col("ingest_date") == ingest_date)
 
     # -------------------------------------------------------- silver and gold
 
-    def _head(self, layer: str, name: str) -> Head | None:
-        folder = f"{self.path(layer, name)}/_heads"
-        heads = [entry for entry in self._files.names(folder) if entry.endswith(".json")]
-        return Head.from_json(self._files.read_text(f"{folder}/{heads[-1]}")) if heads else None
+    def schema(self, layer: str, name: str) -> StructType | None:
+        """The declared columns of a table; None if there is no such table."""
+        try:
+            return self.spark.read.parquet(self._schema_path(layer, name)).schema
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
 
     def exists(self, layer: str, name: str) -> bool:
-        return self._head(layer, name) is not None
+        return self._files.exists(self._schema_path(layer, name))
 
     def read(self, layer: str, name: str) -> DataFrame:
-        head = self._head(layer, name)
-        if head is None:
+        schema = self.schema(layer, name)
+        if schema is None:
             raise TableMissing(f"{layer}.{name} does not exist; build it first")
-        return self._content(layer, name, head)
+        return self._scan(layer, name, schema)
 
     def read_if_exists(self, layer: str, name: str) -> DataFrame | None:
-        head = self._head(layer, name)
-        return None if head is None else self._content(layer, name, head)
-
-    def folders(self, layer: str, name: str) -> list[str]:
-        """Directories that make up the present content."""
-        head = self._head(layer, name)
-        return [] if head is None else [f"{self.path(layer, name)}/{part}" for part in head.parts.values()]
-
-    def _content(self, layer: str, name: str, head: Head) -> DataFrame:
-        root = self.path(layer, name)
-        folders = [f"{root}/{part}" for part in head.parts.values()]
-        if not folders:
-            return self.spark.createDataFrame([], head.schema)
-        reader = self.spark.read.schema(head.schema).option("basePath", root)
-        return reader.parquet(*folders).select(*head.schema.names)
+        schema = self.schema(layer, name)
+        return None if schema is None else self._scan(layer, name, schema)
+
+    def partition_column(self, layer: str, name: str) -> str | None:
+        """What a stored table is partitioned by."""
+        folders = [entry for entry in self._files.names(self.path(layer, name)) if "=" in entry]
+        return folders[0].split("=", 1)[0] if folders else None
 
     def overwrite(self, layer: str, name: str, rows: DataFrame, partition_by: str | None = None) -> None:
         """Replace a table; ``rows`` may be derived from its present content."""
-        head = self._head(layer, name)
         by = partition_by if partition_by in rows.columns else None
-        version = head.version + 1 if head else 1
-        self._publish(layer, name, self._write(layer, name, version, rows, by))
+        schema, path = rows.schema, self.path(layer, name)
+        if by is None or self.partition_column(layer, name) not in (None, by):
+            staging = self._staging(layer, name)
+            self._written(rows, by, staging)
+            self._files.replace(staging, path)
+        else:
+            # Rebalancing gathers each partition's rows into well-sized files and splits big partitions.
+            before = self._partition_files(path, by)
+            rows.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+            for folder in self._left_alone(path, by, before):
+                self._files.delete(f"{path}/{by}={folder}")
+        if by is not None and self.partition_column(layer, name) is None:
+            self._clear(path, by, schema, [NULL_FOLDER])
+        self._declare(layer, name, schema)
+        KeyIndex.forget(self._files, self.base, layer, name)
 
     def upsert(
         self,
@@ -157,70 +163,102 @@ class TableStore:
     ) -> None:
         """Merge ``rows`` on ``keys``; the first write stores them as they are.
 
-        With ``surrogate_col`` known rows keep their surrogate key and new rows get one above
-        the largest. The rows are written to a staging table first, so they are computed once.
+        With ``surrogate_col`` known rows keep their surrogate key and new rows get one above the largest. The rows are staged, so that they
+        are computed once. They meet the table's keys once, in the key index, where it is bucketed by them; what they find there is staged
+        too and tells the rows to refuse, the partitions to rewrite and the surrogate keys to keep.
         """
-        head = self._head(layer, name)
-        if head is None:
+        schema = self.schema(layer, name)
+        if schema is None:
             self.overwrite(layer, name, rows, partition_by)
             return
-        version = head.version + 1
-        target = self._content(layer, name, head)
-        staging = f"{self.base}/_staging/{layer}.{name}.{version}"
-        rows.write.mode("overwrite").parquet(staging)
-        delta = self.spark.read.schema(rows.schema).parquet(staging)
-
-        if not ambiguous_keys(target, delta, keys).isEmpty():
+        keys, by = list(keys), self.partition_column(layer, name)
+        target = self._scan(layer, name, schema)
+        staging = self._staging(layer, name)
+        delta = self._staged(rows, f"{staging}/delta")
+
+        carried = [column for column in (surrogate_col, by) if column is not None]
+        index = KeyIndex(self.spark, self._files, self.base, layer, name, keys, carried, self._index_buckets)
+        index.open(target)
+        found = self._staged(matches(index.current(), delta, keys), f"{staging}/found")
+        if not found.where("_times > 1").isEmpty():
             raise AmbiguousMerge(f"{layer}.{name}: several rows with one key on ({', '.join(keys)})")
 
-        incoming = keep_surrogates(target, delta, keys, surrogate_col) if surrogate_col else delta
-        by = head.partition_by
+        incoming = delta
+        if surrogate_col:
+            start = index.largest(surrogate_col)
+            incoming = self._staged(incoming_with_keys(delta, found, keys, surrogate_col, start), f"{staging}/incoming")
+        merged_schema = wider_schema(schema, incoming.schema)
+        index.begin()
         if by is None:
-            merged = merge_rows(target, incoming, keys, matched_on=delta)
-            self._publish(layer, name, self._write(layer, name, version, merged, None))
+            self._written(merge_rows(target, incoming, keys), None, f"{staging}/merged")
+            self._files.replace(f"{staging}/merged", self.path(layer, name))
         else:
-            hit = target.join(delta.select(*keys), list(keys), "left_semi").select(by)
-            # One value per partition of the table: as many as the head file lists, at most.
-            touched = [row[0] for row in hit.union(delta.select(by)).distinct().collect()]
-            stale = target.where(F.col(by).isin(touched))
-            merged = merge_rows(stale, incoming, keys, matched_on=delta)
-            done = self._write(layer, name, version, merged, by)
-            untouched = {k: v for k, v in head.parts.items() if k not in {str(value) for value in touched}}
-            self._publish(layer, name, Head(version, done.schema, by, {**untouched, **done.parts}))
+            # One value per partition the merge touches: as many as Spark itself lists to replace them, at most.
+            values = found.select(by).union(delta.select(by)).distinct()
+            touched = [tuple(row) for row in values.select(by, F.col(by).cast("string")).collect()]
+            merged = merge_rows(target.where(one_of(by, [value for value, _ in touched])), incoming, keys)
+            folders = [text or NULL_FOLDER for _, text in touched]
+            self._replace_partitions(self.path(layer, name), merged.hint("rebalance", by), by, folders)
+        index.add(incoming)
+        self._declare(layer, name, merged_schema)
         self._files.delete(staging)
 
-    def _write(self, layer: str, name: str, version: int, rows: DataFrame, by: str | None) -> Head:
-        folder = f"{VERSION}={version}"
-        target = f"{self.path(layer, name)}/{folder}"
+    # ------------------------------------------------------------------ helpers
+
+    def _staging(self, layer: str, name: str) -> str:
+        return f"{self.base}/_staging/{layer}.{name}-{uuid.uuid4().hex}"
+
+    def _schema_path(self, layer: str, name: str) -> str:
+        return f"{self.base}/_schemas/{layer}/{name}"
+
+    def _declare(self, layer: str, name: str, schema: StructType) -> None:
+        plain = StructType([StructField(entry.name, entry.dataType) for entry in schema])
+        if self.schema(layer, name) != plain:
+            empty = self.spark.createDataFrame([], plain).coalesce(1)
+            empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._schema_path(layer, name))
+
+    def _scan(self, layer: str, name: str, schema: StructType) -> DataFrame:
+        path = self.path(layer, name)
+        if not self._files.exists(path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path).select(*[f"`{column}`" for column in schema.names])
+
+    def _staged(self, rows: DataFrame, path: str) -> DataFrame:
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _written(self, rows: DataFrame, by: str | None, path: str) -> None:
         if by is None:
-            rows.write.mode("overwrite").parquet(target)
-            return Head(version, rows.schema, None, {"": folder})
-        # Rebalancing gathers each partition's rows into well-sized files and splits big partitions.
-        rows.hint("rebalance", by).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy(by).parquet(target)
-        written = [entry for entry in self._files.names(target) if entry.startswith(f"{by}=")]
-        return Head(
-            version, rows.schema, by, {entry.split("=", 1)[1]: f"{folder}/{entry}" for entry in written}
-        )
-
-    def _publish(self, layer: str, name: str, head: Head) -> None:
-        self._files.publish_text(f"{self.path(layer, name)}/_heads/{head.version:010d}.json", head.to_json())
-
-    def forget_old_versions(self, layer: str, name: str) -> None:
-        """Delete directories the current head does not use. Not while older content is being read."""
-        head = self._head(layer, name)
-        if head is None:
-            return
-        root = self.path(layer, name)
-        used = set(head.parts.values())
-        for entry in self._files.names(root):
-            if not entry.startswith(f"{VERSION}=") or entry in used:
-                continue
-            parts = [f"{entry}/{part}" for part in self._files.names(f"{root}/{entry}")]
-            if not used.intersection(parts):
-                self._files.delete(f"{root}/{entry}")
-                continue
-            for part in parts:
-                if "=" in part.split("/", 1)[1] and part not in used:
-                    self._files.delete(f"{root}/{part}")
+            rows.write.parquet(path)
+        else:
+            rows.hint("rebalance", by).write.partitionBy(by).parquet(path)
+
+    def _replace_partitions(self, path: str, rows: DataFrame, by: str, wanted: Sequence[str]) -> None:
+        """Put ``rows`` in the place of the partitions they fall into; those of ``wanted`` that get no row are emptied.
+
+        ``rows`` may read the partitions they replace.
+        """
+        before = self._partition_files(path, by, set(wanted))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+        self._clear(path, by, rows.schema, self._left_alone(path, by, before))
+
+    def _partition_files(self, path: str, by: str, wanted: set[str] | None = None) -> dict[str, list[str]]:
+        folders = [entry.split("=", 1)[1] for entry in self._files.names(path) if entry.startswith(f"{by}=")]
+        return {folder: self._files.names(f"{path}/{by}={folder}") for folder in folders if wanted is None or unquote(folder) in wanted}
+
+    def _left_alone(self, path: str, by: str, before: dict[str, list[str]]) -> list[str]:
+        """Partitions a write put no row into: Spark's files have new names in every job, and these have their old ones."""
+        return [folder for folder, files in before.items() if self._files.names(f"{path}/{by}={folder}") == files]
+
+    def _clear(self, path: str, by: str, schema: StructType, folders: Sequence[str]) -> None:
+        """Leave partitions with an empty file."""
+        empty = self.spark.createDataFrame([], StructType([entry for entry in schema if entry.name != by])).coalesce(1)
+        for folder in folders:
+            empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{by}={folder}")
+
+
+def one_of(column: str, values: Sequence) -> Column:
+    """Whether ``column`` has one of ``values``, NULL included."""
+    named = [value for value in values if value is not None]
+    condition = F.col(column).isin(named) if named else F.lit(False)
+    return condition | F.col(column).isNull() if len(named) < len(values) else condition
