@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.upsert import matches
 from tidemark.sources import catalog
 from tidemark.sources.index import COMPACT_AFTER, KeyIndex
 from tidemark.sources.landing import read_landing
@@ -107,6 +108,25 @@ def test_the_index_follows_many_merges(spark, store):
     assert rows(store.read("silver", "t")) == sorted(want.values(), key=str)
 
 
+def test_a_merge_reads_the_keys_once_and_moves_the_delta_only(spark, store):
+    store.upsert("gold", "t", spark.range(1000).selectExpr("id AS s", "id AS k", "id % 3 AS p"), ["k"], "s", "p")
+    delta = spark.range(990, 1010).selectExpr("id AS k", "id % 2 AS p")
+    store.upsert("gold", "t", delta, ["k"], "s")
+    index = KeyIndex(spark, store._files, store.base, "gold", "t", ["k"], ["s", "p"], 8)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = spark.read.schema(delta.schema).parquet(store.path("gold", "t"))
+        found = matches(index.current(), stored, ["k"])
+        text = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found.count() == 1010
+    assert text.count("Exchange") == 1 and "SortMergeJoin" in text
+    scans = [line for line in text.splitlines() if "FileScan parquet" in line]
+    assert len(scans) == 2 and sum("Bucketed: true" in line for line in scans) == 1
+
+
 def test_repeated_keys_of_the_table_are_merged_wherever_they_lie(spark, store):
     shape = "s LONG, k INT, v STRING, p STRING"
     store.overwrite("gold", "t", spark.createDataFrame([(5, 1, "a", "p1"), (4, 1, "b", "p2"), (6, 2, "c", "p3")], shape), "p")

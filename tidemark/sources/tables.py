@@ -63,14 +63,15 @@ def wider_schema(known: StructType, new: StructType) -> StructType:
 class TableStore:
     """Tables under ``base``, addressed by layer and name.
 
-    ``index_buckets`` is the number of buckets of the key indexes of merged tables; a table keeps the number it began with.
+    ``index_buckets`` is the number of buckets of the key indexes of merged tables, the session's shuffle partitions if not given; an index
+    keeps the number it began with.
     """
 
-    def __init__(self, spark: SparkSession, base: str, index_buckets: int = 64):
+    def __init__(self, spark: SparkSession, base: str, index_buckets: int | None = None):
         self.spark = spark
         self.base = base.rstrip("/")
         self._files = Files(spark)
-        self._index_buckets = index_buckets
+        self._index_buckets = index_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.base}/{layer}/{name}"
