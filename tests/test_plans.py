@@ -79,6 +79,36 @@ def test_a_hot_session_is_spread_over_tasks(spark):
     assert durations == {30.0: 39999, 0.0: 1}
 
 
+def test_bounds_come_from_footers(spark, store):
+    from tidemark.sources import statistics
+
+    frame = spark.range(1000).selectExpr("id", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS day", "id % 3 AS p", "CAST(id AS STRING) AS name")
+    store.overwrite("gold", "t", frame, "p")
+    rows = statistics.bounds_frame(spark, store.path("gold", "t"), store.schema("gold", "t"), ["id", "day"])
+    assert "PushedAggregation: [MIN(id), MAX(id), MIN(day), MAX(day)]" in plan(rows)
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    found = store.bounds("gold", "t", ["id", "day", "name"])
+    assert found["id"] == (0, 999) and str(found["day"][1]) == "2026-09-26" and found["name"] == ("0", "999")
+    # a partition without the later column, and one without rows
+    store.upsert("gold", "t", spark.sql("SELECT 5000L AS id, 7L AS p, 1L AS late"), ["id"])
+    store.upsert("gold", "t", spark.sql("SELECT 5000L AS id, 8L AS p, 2L AS late"), ["id"])
+    assert store.bounds("gold", "t", ["late", "id"]) == {"late": (2, 2), "id": (0, 5000)}
+
+
+def test_history_is_read_once(spark, store):
+    from tidemark.operators.dimensions import scd2_dimension
+
+    source = spark.range(100).selectExpr("id AS k", "id % 7 AS a")
+    store.overwrite("gold", "d", scd2_dimension(source, "k", "s", ["a"], "2024-01-01 00:00:00"))
+    later = spark.range(50, 150).selectExpr("id AS k", "id % 5 AS a")
+    start = store.bounds("gold", "d", ["s"])["s"][1]
+    rows = scd2_dimension(later, "k", "s", ["a"], "2024-02-01 00:00:00", store.read("gold", "d"), start)
+    text = plan(rows)
+    assert text.count("FileScan parquet") == 1 and "FullOuter" in text
+    same = sum(i % 7 == i % 5 for i in range(50, 100))
+    assert rows.count() == 100 + 50 + (50 - same) and rows.where("is_current").count() == 150
+
+
 def test_numbering_takes_one_exchange(spark):
     text = plan(keys.assign_surrogate_key(spark.range(10), "k", ["id"]))
     assert text.count("Exchange hashpartitioning") == 1 and "SinglePartition" not in text

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import day_number, differs, on_weekend
 from tidemark.operators.dedup import distinct_values, latest_per_key
-from tidemark.operators.keys import assign_surrogate_key, largest_key
+from tidemark.operators.keys import assign_surrogate_key, largest_key, numbered
 
 
 def union_values(value_col: str, *sources: tuple[DataFrame, str]) -> DataFrame:
@@ -20,15 +20,19 @@ def union_values(value_col: str, *sources: tuple[DataFrame, str]) -> DataFrame:
 
 
 def static_dimension(
-    values: DataFrame, value_col: str, key_col: str, existing: DataFrame | None = None
+    values: DataFrame,
+    value_col: str,
+    key_col: str,
+    existing: DataFrame | None = None,
+    start_at: Column | int | None = None,
 ) -> DataFrame:
-    """(key, value) rows: known values keep their key, unseen ones get keys above the largest."""
+    """(key, value) rows: known values keep their key, unseen ones get keys above ``start_at``, the largest known if not given."""
     seen = distinct_values(values, value_col)
     if existing is None:
         return assign_surrogate_key(seen, key_col, [value_col])
     known = existing.groupBy(value_col).agg(F.min(key_col).alias(key_col)).select(key_col, value_col)
     unseen = seen.join(known, value_col, "left_anti")
-    start = largest_key(existing, key_col).scalar()
+    start = largest_key(existing, key_col).scalar() if start_at is None else start_at
     return known.unionByName(assign_surrogate_key(unseen, key_col, [value_col], start))
 
 
@@ -50,44 +54,54 @@ def scd2_dimension(
     attributes: Sequence[str],
     process_ts: str,
     existing: DataFrame | None = None,
+    start_at: Column | int | None = None,
 ) -> DataFrame:
     """Type-2 history: changed keys close their open version at ``process_ts`` and open a new one.
 
     Keys absent from the source stay as they are. Columns: surrogate key, natural key,
-    attributes, effective_from, effective_to, is_current.
+    attributes, effective_from, effective_to, is_current. New keys lie above ``start_at``, the largest
+    key in ``existing`` if not given.
+
+    All versions meet the source once, in a full outer join; each pair then fans out to the rows it leaves: the version as it
+    was or closed, and the one it opens.
     """
     stamp = F.lit(process_ts).cast("timestamp")
     layout = [surrogate_key, natural_key, *attributes, "effective_from", "effective_to", "is_current"]
     rows = latest_per_key(source.select(natural_key, *attributes), [natural_key], newest_first=())
-
-    def opened(versions: DataFrame, start_at) -> DataFrame:
-        keyed = assign_surrogate_key(versions, surrogate_key, [natural_key], start_at)
-        return keyed.withColumns(
-            {
-                "effective_from": stamp,
-                "effective_to": F.lit(None).cast("timestamp"),
-                "is_current": F.lit(True),
-            }
-        ).select(*layout)
-
     if existing is None:
-        return opened(rows, 0)
-
-    changes = scd2_changes(rows, existing.where("is_current"), natural_key, attributes)
-    closing = changes.where("change_type = 'changed'").select(natural_key, F.lit(True).alias("_closing"))
-    closes = F.coalesce("_closing", F.lit(False)) & F.col("is_current")
-    settled = (
-        existing.join(closing, natural_key, "left")
-        .withColumns(
-            {
-                "effective_to": F.when(closes, stamp).otherwise(F.col("effective_to")),
-                "is_current": F.when(closes, F.lit(False)).otherwise(F.col("is_current")),
-            }
-        )
-        .select(*layout)
+        keyed = assign_surrogate_key(rows, surrogate_key, [natural_key], 0)
+        span = {"effective_from": stamp, "effective_to": F.lit(None).cast("timestamp"), "is_current": F.lit(True)}
+        return keyed.withColumns(span).select(*layout)
+
+    was = existing.select(*[F.col(name).alias(f"_was_{name}") for name in layout], F.lit(True).alias("_stored"))
+    now = rows.select(*[F.col(name).alias(f"_now_{name}") for name in (natural_key, *attributes)], F.lit(True).alias("_given"))
+    # A closed version meets nothing and passes through; a key without an open one comes in as new.
+    meets = (F.col(f"_was_{natural_key}") == F.col(f"_now_{natural_key}")) & F.col("_was_is_current")
+    pairs = was.join(now, meets, "full_outer")
+    stored, given = F.col("_stored").isNotNull(), F.col("_given").isNotNull()
+    changed = stored & given & differs([F.col(f"_now_{a}") for a in attributes], [F.col(f"_was_{a}") for a in attributes])
+    types = {entry.name: entry.dataType for entry in existing.select(*layout).schema}
+
+    def version(values: dict[str, Column]) -> Column:
+        return F.struct(*[values[name].cast(types[name]).alias(name) for name in layout])
+
+    kept = version(
+        {name: F.col(f"_was_{name}") for name in layout}
+        | {
+            "effective_to": F.when(changed, stamp).otherwise(F.col("_was_effective_to")),
+            "is_current": F.when(changed, F.lit(False)).otherwise(F.col("_was_is_current")),
+        }
+    )
+    opened = version(
+        {name: F.col(f"_now_{name}") for name in (natural_key, *attributes)}
+        | {surrogate_key: F.lit(None), "effective_from": stamp, "effective_to": F.lit(None), "is_current": F.lit(True)}
     )
-    fresh = changes.select(natural_key, *attributes)
-    return settled.unionByName(opened(fresh, largest_key(existing, surrogate_key).scalar()))
+    left = F.array_compact(F.array(F.when(stored, kept), F.when(given & (~stored | changed), opened)))
+    versions = pairs.select(F.explode(left).alias("_version")).select("_version.*")
+    start = largest_key(existing, surrogate_key).scalar() if start_at is None else start_at
+    versions = versions.withColumn("_is_new", F.col(surrogate_key).isNull())
+    placed = numbered(versions, "_fresh", [natural_key], start, apart=["_is_new"])
+    return placed.withColumn(surrogate_key, F.coalesce(surrogate_key, "_fresh")).select(*layout)
 
 
 def date_bounds(dates: DataFrame, column: str) -> DataFrame:

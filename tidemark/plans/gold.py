@@ -164,10 +164,23 @@ def keyed(rows: DataFrame, table: str) -> DataFrame:
 # ---------------------------------------------------------------- dimensions
 
 
-def key_dimension(silver: Frames, table: str, existing: DataFrame | None = None) -> DataFrame:
+def key_dimension(
+    silver: Frames,
+    table: str,
+    existing: DataFrame | None = None,
+    since: str | None = None,
+    start_at: int | None = None,
+) -> DataFrame:
+    """A key dimension. With ``since``, what was processed up to then is in ``existing`` and is not read again."""
     spec = KEY_DIMENSIONS[table]
-    values = union_values(spec.value, *[(silver[name], column) for name, column in spec.feeds])
-    return static_dimension(values, spec.value, spec.key, existing)
+    fresh = {name: silver[name] for name, _ in spec.feeds}
+    if existing is not None and since is not None:
+        fresh = {
+            name: processed_since(frame, since) if "silver_process_date" in frame.columns else frame
+            for name, frame in fresh.items()
+        }
+    values = union_values(spec.value, *[(fresh[name], column) for name, column in spec.feeds])
+    return static_dimension(values, spec.value, spec.key, existing, start_at)
 
 
 def calendar_dates(silver: Frames) -> DataFrame:
@@ -206,19 +219,25 @@ def product_source(products: DataFrame, dim_category: DataFrame) -> DataFrame:
 
 
 def dim_customers(
-    customers: DataFrame, process_date: str, process_ts: str, existing: DataFrame | None = None
+    customers: DataFrame,
+    process_date: str,
+    process_ts: str,
+    existing: DataFrame | None = None,
+    start_at: int | None = None,
 ) -> DataFrame:
     source = customer_source(customers, process_date)
-    return scd2_dimension(
-        source, "customer_id", "customer_key", CUSTOMER_ATTRIBUTES, process_ts, existing
-    )
+    return scd2_dimension(source, "customer_id", "customer_key", CUSTOMER_ATTRIBUTES, process_ts, existing, start_at)
 
 
 def dim_products(
-    products: DataFrame, dim_category: DataFrame, process_ts: str, existing: DataFrame | None = None
+    products: DataFrame,
+    dim_category: DataFrame,
+    process_ts: str,
+    existing: DataFrame | None = None,
+    start_at: int | None = None,
 ) -> DataFrame:
     source = product_source(products, dim_category)
-    return scd2_dimension(source, "product_id", "product_key", PRODUCT_ATTRIBUTES, process_ts, existing)
+    return scd2_dimension(source, "product_id", "product_key", PRODUCT_ATTRIBUTES, process_ts, existing, start_at)
 
 
 # --------------------------------------------------------------------- facts

@@ -24,6 +24,7 @@ from pyspark.sql.types import DataType, DoubleType, FloatType, IntegerType, Long
 from tidemark.operators.upsert import incoming_with_keys, matches, merge_rows
 from tidemark.sources.files import Files
 from tidemark.sources.index import KeyIndex
+from tidemark.sources.statistics import bounds
 
 #: What Spark calls the folder of a NULL partition value.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
@@ -129,6 +130,14 @@ class TableStore:
         schema = self.schema(layer, name)
         return None if schema is None else self._scan(layer, name, schema)
 
+    def bounds(self, layer: str, name: str, columns: Sequence[str]) -> dict[str, tuple]:
+        """Smallest and largest value of stored columns, from file footers where Spark can."""
+        schema = self.schema(layer, name)
+        if schema is None:
+            raise TableMissing(f"{layer}.{name} does not exist; build it first")
+        path = self.path(layer, name)
+        return bounds(self.spark, path, schema, columns) if self._files.exists(path) else dict.fromkeys(columns, (None, None))
+
     def partition_column(self, layer: str, name: str) -> str | None:
         """What a stored table is partitioned by."""
         folders = [entry for entry in self._files.names(self.path(layer, name)) if "=" in entry]

@@ -1,4 +1,5 @@
-"""DuckDB SQL for every registered query, written on its own and not generated from the library.
+"""DuckDB SQL for every registered query, written on its own and not generated from the library; the derived inputs
+(``fixtures.py``) and the surrogate key formula are shared with it.
 
 Named relations are collected in ``RELATIONS``; ``compose`` puts the ones a statement uses,
 directly or not, in front of it as a WITH list.
@@ -11,6 +12,7 @@ the whole input; ``s1_*`` silver after the first delivery, ``d2_*`` the second d
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from tidemark.suite.fixtures import (
     FIRST_DATE,
@@ -58,7 +60,11 @@ def compose(statement: str) -> str:
         pending += [RELATIONS[name] for name in fresh]
     if not needed:
         return statement
-    ctes = ",\n".join(f"{name} AS ({text})" for name, text in RELATIONS.items() if name in needed)
+    # What several parts of a statement use is worked out once.
+    texts = {name: text for name, text in RELATIONS.items() if name in needed}
+    uses = Counter(name for text in (*texts.values(), statement) for name in re.findall(r"[a-z_0-9]+", text) if name in needed)
+    kinds = {name: "AS MATERIALIZED" if uses[name] > 1 else "AS" for name in texts}
+    ctes = ",\n".join(f"{name} {kinds[name]} ({text})" for name, text in texts.items())
     return f"WITH {ctes}\n{statement}"
 
 

@@ -15,7 +15,7 @@ from tidemark.operators import dedup, dimensions, keys, lookup, succession, upse
 from tidemark.plans import gold, watermark
 from tidemark.plans import bronze as bronze_plan
 from tidemark.plans import silver as silver_plan
-from tidemark.sources import catalog
+from tidemark.sources import catalog, statistics
 from tidemark.sources.landing import read_landing
 from tidemark.sources.schemas import DATASETS
 from tidemark.sources.tables import TableStore
@@ -342,6 +342,85 @@ def gold_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return store.read("gold", "dim_country")
 
 
+@query(
+    "merge_moves_partitions",
+    """SELECT * REPLACE (nullif(payment_method, '') AS payment_method) FROM (
+      SELECT * FROM raw1_orders WHERE order_id NOT IN (SELECT order_id FROM raw2_orders)
+      UNION ALL SELECT * REPLACE (CASE WHEN order_id % 3 = 0 THEN NULL ELSE payment_method END AS payment_method) FROM raw2_orders)""",
+)
+def merge_moves_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    # Partitions are NULL (an empty text counts as NULL there), hold blanks, and gain and lose rows; merging the same rows again changes nothing.
+    store = scratch(spark)
+    later = raw(spark, sf, "orders", 2).withColumn(
+        "payment_method", F.when(F.col("order_id") % 3 != 0, F.col("payment_method"))
+    )
+    for rows in (raw(spark, sf, "orders", 1), later, later):
+        store.upsert("silver", "orders", rows, ["order_id"], partition_by="payment_method")
+    return store.read("silver", "orders")
+
+
+@query(
+    "bronze_empty_redelivery",
+    f"""SELECT order_id, total_usd, '{FIRST_DATE}' AS ingest_date FROM raw1_orders""",
+)
+def bronze_empty_redelivery(spark: SparkSession, sf: str) -> DataFrame:
+    # The second delivery comes again without rows, which empties its date.
+    store = _bronze_orders(spark, sf)
+    store.add_bronze("orders", bronze(spark, sf, "orders", 2).where("order_id IS NULL"), ingest_date=SECOND_DATE)
+    return store.bronze("orders").select("order_id", "total_usd", "ingest_date")
+
+
+@query(
+    "bronze_drifted_deliveries",
+    f"""SELECT order_id, product_id, CAST(quantity AS BIGINT) AS quantity, CAST(NULL AS DOUBLE) AS line_total_usd,
+      '{FIRST_DATE}' AS ingest_date FROM raw1_order_items
+    UNION ALL SELECT order_id, product_id, CAST(quantity AS BIGINT) + 5000000000, line_total_usd, '{SECOND_DATE}' FROM raw2_order_items""",
+)
+def bronze_drifted_deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    # The second delivery widens one column and brings another.
+    store = scratch(spark)
+    first = raw(spark, sf, "order_items", 1).select("order_id", "product_id", "quantity", F.lit(FIRST_DATE).alias("ingest_date"))
+    second = raw(spark, sf, "order_items", 2).select(
+        "order_id",
+        "product_id",
+        (F.col("quantity").cast("long") + 5_000_000_000).alias("quantity"),
+        "line_total_usd",
+        F.lit(SECOND_DATE).alias("ingest_date"),
+    )
+    store.add_bronze("order_items", first)
+    store.add_bronze("order_items", second)
+    return store.bronze("order_items").select("order_id", "product_id", "quantity", "line_total_usd", "ingest_date")
+
+
+@query(
+    "catalog_month_scan",
+    """SELECT date_key // 100 AS part_month, count(*) AS orders,
+      CAST(sum(CAST(gross_revenue_usd AS DECIMAL(28,6))) AS DOUBLE) AS revenue_usd
+    FROM f2_order WHERE date_key // 100 > (SELECT min(date_key) // 100 FROM f2_order) GROUP BY date_key // 100""",
+)
+def catalog_month_scan(spark: SparkSession, sf: str) -> DataFrame:
+    # All months but the first, by the table's name in the catalog.
+    store = two_deliveries(spark, sf).store
+    name = catalog.save_to_catalog(store, "fact_order", "tidemark_gold")
+    first = store.bounds("gold", "fact_order", ["date_key"])["date_key"][0]
+    return spark.sql(
+        f"""SELECT part_month, count(*) AS orders, CAST(sum(CAST(gross_revenue_usd AS DECIMAL(28,6))) AS DOUBLE) AS revenue_usd
+        FROM {name} WHERE part_month > {first // 100} GROUP BY part_month"""
+    )
+
+
+@query(
+    "stored_bounds",
+    """SELECT min(order_date) AS min_order_date, max(order_date) AS max_order_date, min(order_id) AS min_order_id,
+      max(order_id) AS max_order_id, min(total_usd) AS min_total_usd, max(total_usd) AS max_total_usd FROM s2_orders""",
+)
+def stored_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    # Answered from file footers.
+    store = two_deliveries(spark, sf).store
+    schema = store.schema("silver", "orders")
+    return statistics.bounds_frame(spark, store.path("silver", "orders"), schema, ["order_date", "order_id", "total_usd"])
+
+
 # ------------------------------------------------------------------- watermark
 
 
