@@ -8,15 +8,17 @@ Two fingerprints are alike as far as they share anchors at places shifted by one
 
 from __future__ import annotations
 
+import bisect
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import portions, stage
+from tidemark.llm.common import portions
 from tidemark.llm.rolling import grams, prefix_hashes, sliding_min
 
 K = 16
@@ -25,6 +27,9 @@ S = 8
 PIECE = 1 << 18
 #: Matches may be this far off the common shift.
 SLACK = 8
+#: Text of a block of neighbouring rows, and rows drawn per block to find where blocks begin.
+BLOCK_BYTES = 4 << 20
+DRAWN = 32
 #: Characters of texts whose fingerprints are handed on in one go.
 TOGETHER = 1 << 20
 
@@ -89,20 +94,39 @@ def edited(text: str, other: str) -> str:
     return text[: len(text) - n] + other[:n]
 
 
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, int | None, str]]:
+    for batch in batches:
+        columns = [batch.column(c) for c in ("block", "lead", "doc_id", "text")]
+        for i in range(batch.num_rows):
+            yield tuple(c[i].as_py() for c in columns)
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Walks the rows of each block in order, with the row before in hand; a block ends with the first row of the next one."""
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    for batch in batches:
-        keys, texts, others = (batch.column(i).to_pylist() for i in range(3))
-        for lo, hi in portions([(t or "") + (o or "") for t, o in zip(texts, others)], TOGETHER):
-            rows = []
-            for key, text, other in zip(keys[lo:hi], texts[lo:hi], others[lo:hi]):
-                text, other = text or "", other or ""
-                new = edited(text, other)
-                mine, changed, following = anchors(text), anchors(new), anchors(other)
-                digest = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
-                rows.append((key, len(text), digest, as_string(mine), as_string(changed), likeness(mine, changed), likeness(mine, following)))
+    rows: list[tuple] = []
+    size, before = 0, None
+    for block, lead, key, other in _in_order(batches):
+        if before is not None and before[0] == block:
+            _, mine_key, text, mine = before
+            following = anchors(other)
+            new = edited(text, other)
+            changed = anchors(new)
+            digest = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
+            rows.append((mine_key, len(text), digest, as_string(mine), as_string(changed), likeness(mine, changed), likeness(mine, following)))
+            size += len(text) + len(new)
+        else:
+            following = None
+        if lead:
+            before = None
+        else:
+            before = (block, key, other, anchors(other) if following is None else following)
+        if size > TOGETHER or len(rows) >= 4096:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+            rows, size = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,25 +143,59 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return rows.mapInArrow(_fingerprint, "doc_id long, fingerprint string")
 
 
-def edit_check(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+Place = tuple[bool, int, int]
+
+
+def _places(ids: Iterable[int | None], ties: Iterable[int]) -> list[Place]:
+    """Sort keys: falling ids, null ones last, then rising ties."""
+    return [(True, 0, int(t)) if i is None else (False, ~int(i), int(t)) for i, t in zip(ids, ties)]
+
+
+def _block_starts(slim: DataFrame, blocks: int) -> list[Place]:
+    """The first rows of about ``blocks`` even blocks, the very first row among them.
+
+    Rows are drawn by hash, about ``DRAWN`` for each block, so the driver receives a number that follows the number of blocks.
+    """
+    first = slim.orderBy(F.col("doc_id").desc_nulls_last(), "tie").limit(1).toArrow()
+    total = slim.count()
+    share = min(1.0, blocks * DRAWN / max(total, 1))
+    drawn = slim.where(F.pmod(F.xxhash64("doc_id", "tie"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).distinct().toArrow()
+    found = sorted(_places(drawn.column("doc_id").to_pylist(), drawn.column("tie").to_pylist()))
+    starts = set(found[:: max(1, -(-len(found) // blocks))])
+    return sorted(starts.union(_places(first.column("doc_id").to_pylist(), first.column("tie").to_pylist())))
+
+
+def edit_check(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how alike they are.
 
     The following row is the next one by falling id (ties in the order of their texts' hash, null ids last; after the
-    last the first; a single row follows itself). Rows are numbered in that order by range partitions, so the follower is the next number,
-    or the first one of the next partition that has rows: one bounded row per partition tells which. Null texts count as empty; repeated
-    rows are rows of their own; empty input gives no rows.
+    last the first; a single row follows itself). Null texts count as empty; repeated rows are rows of their own; empty input gives no rows.
+
+    Rows are dealt once, to blocks of that order of about ``block_bytes`` of text; the first row of a block goes to the block before
+    as well, the very first one to the last block. A block is read in order with one row in hand, so texts are shuffled once and nothing is stored.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-    tie = F.xxhash64("text")
-    order = [F.col("doc_id").desc_nulls_last(), tie]
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = stage(dealt.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text"), "ordered-documents")
-    ends = numbered.groupBy(F.shiftright("rid", 33).alias("p")).agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")).orderBy("p").collect()
-    # at most one row per partition of the table
-    firsts = [r["lo"] for r in ends]
-    jumps = numbered.sparkSession.createDataFrame([(r["hi"], n) for r, n in zip(ends, firsts[1:] + firsts[:1])], "hi long, after long")
-    left = numbered.join(F.broadcast(jumps), F.col("rid") == F.col("hi"), "left").select("doc_id", "text", F.coalesce("after", F.col("rid") + 1).alias("after"))
-    following = numbered.select(F.col("rid").alias("after"), F.col("text").alias("other"))
-    pairs = left.join(following, "after").select("doc_id", "text", "other")
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    spark = docs.sparkSession
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    starts = _block_starts(rows.select("doc_id", "tie"), max(4 * parts, -(-size // block_bytes)))
+    # about as many as blocks
+    shared = spark.sparkContext.broadcast(starts)
+
+    @F.pandas_udf("array<bigint>")
+    def blocks(ids: pd.Series, ties: pd.Series) -> pd.Series:
+        own, out = shared.value, []
+        for place in _places((i if isinstance(i, str) else None for i in ids), ties):
+            block = bisect.bisect_right(own, place) - 1
+            # ~b: the row also ends block b
+            out.append([block, ~((block - 1) % len(own))] if own[block] == place else [block])
+        return pd.Series(out)
+
+    # ids as text: pandas would turn a column with nulls into floating point
+    dealt = rows.withColumn("to", F.explode(blocks(F.col("doc_id").cast("string"), "tie")))
+    dealt = dealt.select("doc_id", "tie", "text", (F.col("to") < 0).alias("lead"), F.when(F.col("to") < 0, F.bitwise_not("to")).otherwise(F.col("to")).alias("block"))
+    order = ["block", "lead", F.col("doc_id").desc_nulls_last(), "tie"]
+    dealt = dealt.repartition("block").sortWithinPartitions(*order).select("block", "lead", "doc_id", "text")
     columns = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return pairs.mapInArrow(_compare, columns)
+    return dealt.mapInArrow(_compare, columns)
