@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.sources.workspace import fresh_folder
 
@@ -95,6 +96,32 @@ class Runs:
         return start
 
 
+def largest_classes(frame: DataFrame, column: str, limit: int) -> DataFrame:
+    """The rows with the largest values of ``column``, in whole classes of equal values, as many as fit in ``limit`` rows.
+
+    The bound of the values is found by counting, first by order of magnitude, then by value, so the caller may collect the rows: there are at
+    most ``limit`` in all, whatever the number of partitions. A class that does not fit as a whole is left out.
+    """
+    value = F.col(f"`{column}`")
+    # four steps to a doubling, on either side of zero
+    step = F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * 4)
+    bins = sorted(((r[0], r[1]) for r in frame.groupBy(step.alias("bin")).count().collect()), reverse=True)
+    have = 0
+    for step_number, n in bins:
+        if have + n > limit:
+            break
+        have += n
+    else:
+        return frame
+    within = sorted(((r[0], r[1]) for r in frame.where(step == step_number).groupBy(value.alias("value")).count().collect()), reverse=True)
+    least = None
+    for number, n in within:
+        if have + n > limit:
+            break
+        have, least = have + n, number
+    return frame.where(step > step_number if least is None else (step > step_number) | (value >= least))
+
+
 def run_bounds(*keys: np.ndarray) -> np.ndarray:
     """Starts of the runs of equal keys, and the end."""
     n = len(keys[0])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import PIECE_BYTES, stage
+from tidemark.llm.common import PIECE_BYTES, largest_classes, stage
 
 #: Look-alikes and the letters they stand for.
 LOOKALIKES = {
@@ -56,6 +56,7 @@ REMEMBERED = 200_000
 
 BLANK = re.compile(r"\S+")
 DOUBLE = re.compile(r"(.)\1")
+RUN = re.compile(r"(.)\1*")
 #: Neighbouring tokens of up to three characters.
 SHORT = re.compile(r"(?<!\S)\S{1,3}(?:[^\S\n]+\S{1,3})+(?!\S)")
 PLAIN = re.compile(r"[a-z]+")
@@ -112,7 +113,7 @@ def _raw_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[str] = Counter()
         for value in batch.column(0):
             for piece in _pieces(value.as_py() or ""):
-                total.update(BLANK.findall(piece.lower()))
+                total.update(piece.lower().split())
         words: Counter[str] = Counter()
         for token, n in total.items():
             core = token.strip(EDGE)
@@ -122,10 +123,10 @@ def _raw_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def word_counts(docs: DataFrame, text_column: str = "text", words: int = FREQUENT_WORDS) -> dict[str, int]:
-    """The ``words`` most frequent words of two letters or more, as written, with their counts over all texts given."""
+    """The most frequent words of two letters or more, as written, with their counts over all texts given: at most ``words``, equally frequent ones all or none."""
     texts = docs.select(F.col(text_column).cast("string").alias("text"))
-    counted = texts.mapInArrow(_raw_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
-    return {r["word"]: r["n"] for r in counted.orderBy(F.desc("n"), "word").limit(words).collect()}
+    counted = stage(texts.mapInArrow(_raw_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "toxic-words")
+    return {r["word"]: r["n"] for r in largest_classes(counted, "n", words).collect()}
 
 
 def decode(token: str, model: list[list[list[float]]]) -> str:
@@ -172,12 +173,39 @@ def decode(token: str, model: list[list[list[float]]]) -> str:
     return "".join(reversed(out))
 
 
+def undouble(token: str, model: list[list[list[float]]]) -> str:
+    """``decode`` for tokens of letters a-z only: each run of a letter stands for one or two of it, so two states suffice at any place."""
+    # (letter before, last letter, score, path) with the last run read as one letter, and as two
+    states = [(0, 0, 0.0, ())]
+    for run in RUN.finditer(token):
+        size = run.end() - run.start()
+        code, last = ord(token[run.start()]) - 96, states[0][1]
+        one = max(((score + (SHRINK * (size - 1) + model[a][b][code]), way) for a, b, score, way in states), key=_score)
+        after = [(last, code, one[0], (one[1], code))]
+        if size > 1:
+            two = max(((score + SHRINK * (size - 2) + model[a][b][code] + model[b][code][code], way) for a, b, score, way in states), key=_score)
+            after.append((code, code, two[0], ((two[1], code), code)))
+        states = after
+    _, way = max(((score + model[a][b][0], way) for a, b, score, way in states), key=_score)
+    out = []
+    while way:
+        way, code = way
+        out.append(chr(96 + code))
+    return "".join(reversed(out))
+
+
+def _score(option: tuple) -> float:
+    return option[0]
+
+
 class Restorer:
     """Restores texts; remembers tokens it has decoded, up to a bound."""
 
     def __init__(self, model: np.ndarray, counts: dict[str, int] | None = None):
         self.model = model.tolist()
         self.counts = counts or {}
+        #: words as counted that stand as they are: plain letters, none of them doubled
+        self.plain = frozenset(w for w in self.counts if PLAIN.fullmatch(w) and not DOUBLE.search(w))
         self.known: dict[str, str] = {}
 
     def word(self, token: str) -> str:
@@ -205,7 +233,8 @@ class Restorer:
         if core.isalpha() and not DOUBLE.search(edge) and (edge == core or len(edge) > len(core) + 2):
             return core
         # a single look-alike at the edge may belong to the word
-        found = decode(edge if core.isalpha() and len(edge) <= len(core) + 2 else core, self.model)
+        seen = edge if core.isalpha() and len(edge) <= len(core) + 2 else core
+        found = undouble(seen, self.model) if PLAIN.fullmatch(seen) else decode(seen, self.model)
         own = self.counts.get(core, 0)
         return core if own and own >= DISGUISED * self.counts.get(found, 0) else found
 
@@ -236,6 +265,22 @@ class Restorer:
                 yield from self.word(token).split()
 
 
+    def distinct(self, text: str) -> set[str]:
+        """The set of ``words``, each different token, and each different run of short ones, restored once."""
+        out: set[str] = set()
+        for piece in _pieces(text):
+            low = piece.lower()
+            tokens = set(SHORT.sub(" ", low).split())
+            known = tokens & self.plain
+            out |= known
+            for token in tokens - known:
+                out.update(self.word(token).split())
+            for span in set(SHORT.findall(low)):
+                tokens_of = span.split()
+                out.update(self._remembered(" ".join(tokens_of), lambda: self._joined(tokens_of)).split())  # noqa: B023
+        return out
+
+
 @dataclass
 class Model:
     letters: np.ndarray
@@ -270,7 +315,7 @@ def _word_counts(letters: np.ndarray, counts: dict[str, int]):
             toxic: Counter[str] = Counter()
             other: Counter[str] = Counter()
             for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                (toxic if label else other).update(set(restorer.words(text.as_py() or "")))
+                (toxic if label else other).update(restorer.distinct(text.as_py() or ""))
             words = sorted(toxic.keys() | other.keys())
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([toxic[w] for w in words], pa.int64()), pa.array([other[w] for w in words], pa.int64())], names=["word", "t", "c"])
 
@@ -282,7 +327,7 @@ def _own_features(model: Model):
         restorer = Restorer(model.letters, model.counts)
         for batch in batches:
             labels = batch.column("toxic").to_pylist()
-            rows = [model.features(set(restorer.words(t.as_py() or "")), y) for t, y in zip(batch.column("text"), labels)]
+            rows = [model.features(restorer.distinct(t.as_py() or ""), y) for t, y in zip(batch.column("text"), labels)]
             yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(rows, pa.list_(pa.float64()))], names=["toxic", "f"])
 
     return features
@@ -301,7 +346,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 3
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
     """Learns from the rows of ``labels`` that have a row in ``docs``; letters from all of ``docs``.
 
-    About ``rows`` labelled rows at most, chosen by hash, and the ``WORDS`` words with the largest log odds among those in at least
+    About ``rows`` labelled rows at most, chosen by hash, and the words with the largest log odds (to three places, whole classes, ``WORDS`` at most) among those in at least
     ``LEAST_TOXIC`` toxic texts. A row with several labels is toxic if one says so; null labels and ids are left out. Without labels all scores are even.
     """
     letters = letter_model(docs, text_column)
@@ -317,9 +362,9 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     if not model.toxic or not model.other:
         return model
     counted = learned.mapInArrow(_word_counts(letters, model.counts), "word string, t long, c long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    odds = F.log((F.col("t") + 0.2) / (F.col("c") + 0.2))
-    best = counted.where(F.col("t") >= LEAST_TOXIC).orderBy(odds.desc(), "word").limit(WORDS).collect()
-    model.words = {r["word"]: (r["t"], r["c"]) for r in best}
+    odds = F.round(F.log((F.col("t") + 0.2) / (F.col("c") + 0.2)), 3)
+    candidates = stage(counted.where(F.col("t") >= LEAST_TOXIC).withColumn("odds", odds), "toxic-odds")
+    model.words = {r["word"]: (r["t"], r["c"]) for r in largest_classes(candidates, "odds", WORDS).collect()}
     found = learned.mapInArrow(_own_features(model), "toxic int, f array<double>").collect()  # about ``rows`` rows
     found = sorted((r["toxic"], *r["f"]) for r in found)
     table = np.array(found)
@@ -331,7 +376,7 @@ def _scorer(model: Model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model.letters, model.counts)
         for batch in batches:
-            rows = np.array([model.features(set(restorer.words(t.as_py() or ""))) for t in batch.column(1)]).reshape(-1, 4)
+            rows = np.array([model.features(restorer.distinct(t.as_py() or "")) for t in batch.column(1)]).reshape(-1, 4)
             p = 1 / (1 + np.exp(-np.clip(rows @ model.weights, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], names=["doc_id", "score"])
 
