@@ -25,6 +25,8 @@ PATTERNS = {"byte": BYTE_LEVEL, "word": WORD_LEVEL}
 REMEMBERED_WORDS = 300_000
 REMEMBERED_IDS = 4_000_000
 LONGEST_REMEMBERED = 64
+#: Unknown words encoded in one go.
+TOGETHER = 2_000
 
 
 class Encoder:
@@ -35,21 +37,74 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pattern = PATTERNS[kind]
+        self.kind, self.pattern = kind, PATTERNS[kind]
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._forget()
+        # both vocabularies write a byte as one character, and may mark the end of a word
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
+        known = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.widths = np.zeros(max(known.values()) + 1, dtype=np.int64)
+        for token, number in known.items():
+            self.widths[number] = len(token.removesuffix(mark))
+        self._clear()
 
-    def _forget(self) -> None:
+    def _clear(self) -> None:
         self.number: dict[str, int] = {}
         self.flat, self.ends = array("I"), array("q", [0])
+        self.seen = np.zeros(0, dtype=np.int64)
+
+    def _forget(self) -> None:
+        """Keep the words met most often, half of the room at most."""
+        words, number = list(self.number), np.fromiter(self.number.values(), dtype=np.int64, count=len(self.number))
+        times = self.seen[number]
+        flat, ends = np.array(self.flat, dtype=np.uint32), np.array(self.ends, dtype=np.int64)
+        least = 2
+        while (times >= least).sum() > REMEMBERED_WORDS // 2 or (np.diff(ends)[number] * (times >= least)).sum() > REMEMBERED_IDS // 2:
+            least *= 2
+        self._clear()
+        kept = np.flatnonzero(times >= least)
+        for i in kept.tolist():
+            self._keep(words[i], flat[ends[number[i]] : ends[number[i] + 1]].tobytes())
+        self.seen = times[kept] // 2
+
+    def _keep(self, piece: str, ids: bytes) -> None:
+        self.number[piece] = len(self.ends) - 1
+        self.flat.frombytes(ids)
+        self.ends.append(len(self.flat))
 
     def _learn(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 10_000):
-            part = pieces[at : at + 10_000]
+        joined, alone = [], []
+        for piece in pieces:
+            (joined if self._joins(piece) else alone).append(piece)
+        for at in range(0, len(joined), TOGETHER):
+            part = joined[at : at + TOGETHER]
+            bounds, ids = self._together(part)
+            if bounds is None:
+                alone += part
+                continue
+            for piece, lo, hi in zip(part, bounds[:-1], bounds[1:]):
+                self._keep(piece, ids[lo:hi].tobytes())
+        for at in range(0, len(alone), 10_000):
+            part = alone[at : at + 10_000]
             for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.number[piece] = len(self.ends) - 1
-                self.flat.extend(found.ids)
-                self.ends.append(len(self.flat))
+                self._keep(piece, np.array(found.ids, dtype=np.uint32).tobytes())
+
+    def _joins(self, piece: str) -> bool:
+        """Words that the tokenizer cuts off from what stands before them."""
+        return len(piece) <= LONGEST_REMEMBERED and (self.kind == "word" or (piece[0] == " " and piece[-1] != " "))
+
+    def _together(self, pieces: list[str]) -> tuple[list[int] | None, np.ndarray]:
+        """Ids of several words encoded as one text, and where each word's begin. An id stands for a known number of bytes, so the words'
+        lengths tell their ids apart; None where they do not."""
+        text = " ".join(pieces) if self.kind == "word" else "".join(pieces)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        normal = self.tokenizer.normalizer
+        sizes = [len(p) if p.isascii() else len((normal.normalize_str(p) if normal else p).encode()) for p in pieces]
+        after = np.concatenate(([0], np.cumsum(self.widths[ids])))
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        bounds = np.searchsorted(after, ends)
+        if bounds[-1] != len(ids) or (after[np.minimum(bounds, len(after) - 1)] != ends).any():
+            return None, ids
+        return bounds.tolist(), ids
 
     def encode(self, texts: list[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids as uint32, and the bounds of each text in them (one more than texts). ``end_id`` follows each text."""
@@ -67,6 +122,9 @@ class Encoder:
         if new:
             self._learn(sorted(new))
         which = np.fromiter(map(self.number.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        times = np.bincount(which, minlength=len(self.ends) - 1)
+        times[: len(self.seen)] += self.seen
+        self.seen = times
         flat, ends = np.frombuffer(self.flat, dtype=np.uint32), np.frombuffer(self.ends, dtype=np.int64)
         first, lengths = ends[which], ends[which + 1] - ends[which]
         after = np.cumsum(lengths)
