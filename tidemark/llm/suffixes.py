@@ -32,6 +32,8 @@ LONGEST_RUN = 256
 PIECE = 1 << 20
 #: Bits of the table of shared values; it bounds what is broadcast, whatever the corpus.
 TABLE_BITS = 26
+#: Documents (ids and tags, or digests) that are sent to all executors; more of them are joined by shuffle instead, texts included.
+BROADCAST_ROWS = 1 << 20
 #: Stretches of one value are sorted in groups of about this many, then the groups' leaders once more.
 GROUP = 4096
 #: Groups are sorted side by side up to about this many windows.
@@ -345,6 +347,13 @@ def _remover(keep_text: bool):
     return remove
 
 
+def _with_entry(texts: DataFrame, entries: DataFrame) -> DataFrame:
+    """Texts that have a row in ``entries``, picked before they are shuffled where the ids are few enough to send to all."""
+    if entries.count() > BROADCAST_ROWS:
+        return texts
+    return texts.join(F.broadcast(entries.select("doc", "tag")), ["doc", "tag"], "left_semi")
+
+
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep_text: bool = False, carry: Column | None = None) -> DataFrame:
     """Removes every byte covered by a 50-byte string that also starts in a document with a smaller id.
 
@@ -355,11 +364,17 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     spark = docs.sparkSession
     carried = (F.lit(None).cast("int") if carry is None else carry).alias("carried")
     rows = docs.select(carried, F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
-    firsts = stage(rows.groupBy("digest").agg(F.min("doc").alias("least")), "suffix-texts")
-    tag = F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")
-    known = rows.join(firsts, "digest").withColumn("tag", tag).withColumn("copy", F.col("doc") > F.col("least"))
-    known = stage(known.select("carried", "doc_id", "doc", "tag", "copy", "text"), "suffix-documents")
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    rows = rows.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("digest", F.unhex(F.substring(digest, 1, 32)))
+    # texts that occur twice: all but the one of the smallest id go whole
+    again = rows.groupBy("digest").agg(F.min("doc").alias("least"), F.count("*").alias("n")).where("n > 1")
+    again = stage(again.select("digest", "least"), "suffix-texts")
+    tag = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long")
+    small = again.count() <= BROADCAST_ROWS
+    known = rows.join(F.broadcast(again) if small else again, "digest", "left").withColumn("tag", tag).withColumn("copy", F.coalesce(F.col("doc") > F.col("least"), F.lit(False)))
+    known = known.select("carried", "doc_id", "doc", "tag", "copy", "text")
+    if not small:
+        known = stage(known, "suffix-documents")
     # rows that repeat id and text are the same document here
     texts = known.where(~F.col("copy") & (F.octet_length("text") >= LENGTH)).select("doc", "tag", "text")
     values = texts.mapInArrow(_values, "h long, doc long").groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi")
@@ -377,7 +392,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     whole = placed.where("doc > least").select("doc", "tag", "at", "n")
     open_ = placed.where("doc = least").join(several.select("h", F.ceil(F.col("k") / GROUP).cast("long").alias("parts")), "h")
     wanted = open_.groupBy("doc", "tag").agg(F.collect_set(F.struct("h", "at", "n", "parts")).alias("wanted"))
-    one_each = texts.join(wanted, ["doc", "tag"]).dropDuplicates(["doc", "tag"])
+    wanted = stage(wanted, "suffix-wanted")
+    one_each = _with_entry(texts, wanted).join(wanted, ["doc", "tag"]).dropDuplicates(["doc", "tag"])
     pieces = one_each.mapInArrow(_extract, "h long, doc long, tag long, at long, n long, parts long, bytes binary")
     pieces = pieces.withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")))
     columns = "doc long, tag long, at long, n long, h long, bytes binary"
@@ -387,10 +403,18 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     second = again.repartition("h").sortWithinPartitions("h", "part").mapInArrow(_sort(False), columns)
     marks = found.where("bytes IS NULL").union(second).select("doc", "tag", "at", "n").union(whole)
     marks = marks.groupBy("doc", "tag").agg(F.collect_set(F.struct("at", "n")).alias("marks"))
+    marks = stage(marks, "suffix-marks")
     columns = ["doc_id", "carried", "copy", "text", "marks"]
     # copies go whole and need no marks
-    originals = known.where(~F.col("copy")).join(marks, ["doc", "tag"], "left").select(columns)
-    copies = known.where("copy").withColumn("marks", F.lit(None).cast(marks.schema["marks"].dataType)).select(columns)
+    unmarked = F.lit(None).cast(marks.schema["marks"].dataType).alias("marks")
+    originals = known.where(~F.col("copy"))
+    if marks.count() <= BROADCAST_ROWS:
+        ids = F.broadcast(marks.select("doc", "tag"))
+        alone = originals.join(ids, ["doc", "tag"], "left_anti").withColumn("marks", unmarked).select(columns)
+        originals = originals.join(ids, ["doc", "tag"], "left_semi").join(marks, ["doc", "tag"]).select(columns).union(alone)
+    else:
+        originals = originals.join(marks, ["doc", "tag"], "left").select(columns)
+    copies = known.where("copy").withColumn("marks", unmarked).select(columns)
     numbers = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
     out = StructType([known.schema["doc_id"], known.schema["carried"], *StructType.fromDDL(numbers).fields])
     return originals.union(copies).mapInArrow(_remover(keep_text), out)
