@@ -63,10 +63,11 @@ def run(options: argparse.Namespace, store: TableStore) -> runs.Summary:
             return runs.run_bronze(store, landing, day, stamp, dict.fromkeys(DATASETS, csv))
         dataset = options.dataset or path.name.removesuffix(".csv")
         mode = "append" if options.append else "replace"
-        load = lambda: runs.load_bronze(store, dataset, options.file, day, stamp, mode, **csv)
+        reports = []
+        load = lambda: reports.append(runs.load_bronze(store, dataset, options.file, day, stamp, mode, **csv))
         summary = runs.run_all({dataset: load})
         if options.report and summary.succeeded:
-            show_report(store.bronze(dataset))
+            show_report(store.bronze(dataset), store.delivery_dates(dataset), reports[0])
         return summary
     if options.layer == "silver":
         if options.dataset is None:

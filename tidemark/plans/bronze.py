@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import with_record_id
 
+# Quality codes.
+FAULTS = ("NULL_RECORD_ID", "EMPTY_RECORD_ID")
+
 
 def normalize_columns(df: DataFrame) -> DataFrame:
     """Lower-case column names, outer blanks cut, inner spaces as underscores; collisions are errors."""
@@ -19,10 +25,7 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 def with_quality_flags(df: DataFrame) -> DataFrame:
     """Flag rows without a usable record id. No row is dropped."""
-    # Quality codes.
-    flag = F.when(F.col("record_id").isNull(), "NULL_RECORD_ID").when(
-        F.col("record_id") == "", "EMPTY_RECORD_ID"
-    )
+    flag = F.when(F.col("record_id").isNull(), FAULTS[0]).when(F.col("record_id") == "", FAULTS[1])
     return df.withColumn("dq_error", flag).withColumn("is_valid_record_id", F.col("dq_error").isNull())
 
 
@@ -47,9 +50,34 @@ def report_validity(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy("is_valid_record_id").count()
 
 
-def show_report(bronze: DataFrame) -> None:
-    """Print what a load left behind: a sample, the schema, the delivery dates, validity counts."""
+@dataclass(frozen=True)
+class LoadReport:
+    """What one load wrote: records in all, with and without a usable id, and by fault."""
+
+    records: int
+    usable: int
+    unusable: int
+    faults: dict[str, int]
+
+
+def observed(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """Bronze rows that count themselves while they are written."""
+    seen = Observation()
+    faults = [F.count_if(F.col("dq_error") == code).alias(code) for code in FAULTS]
+    usable = F.count_if("is_valid_record_id").alias("usable")
+    return rows.observe(seen, F.count("*").alias("records"), usable, *faults), seen
+
+
+def report_of(seen: Observation) -> LoadReport:
+    found = seen.get
+    faults = {code: found[code] for code in FAULTS if found[code]}
+    return LoadReport(found["records"], found["usable"], found["records"] - found["usable"], faults)
+
+
+def show_report(bronze: DataFrame, dates: Sequence[str], load: LoadReport | None = None) -> None:
+    """Print what a load left behind: a sample, the schema, all delivery dates, and what it counted on the way."""
     bronze.show(5, truncate=False)
     bronze.printSchema()
-    report_partitions(bronze).show(20, truncate=False)
-    report_validity(bronze).show(truncate=False)
+    print("delivery dates:", ", ".join(sorted(dates)))
+    if load is not None:
+        print(f"{load.records} records, {load.usable} usable, {load.unusable} not:", load.faults)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dimensions import calendar
 from tidemark.plans import gold
-from tidemark.plans.bronze import to_bronze
+from tidemark.plans.bronze import LoadReport, observed, report_of, to_bronze
 from tidemark.plans.silver import RECIPES, clean
 from tidemark.plans.watermark import (
     PIPELINE_NAME,
@@ -67,9 +67,16 @@ def load_bronze(
     ingested_at: str,
     mode: str = "replace",
     **csv_options: str,
-) -> None:
+) -> LoadReport:
     landing = read_landing(store.spark, landing_path, dataset, with_source_file=True, **csv_options)
-    store.add_bronze(dataset, to_bronze(landing, dataset, ingest_date, ingested_at), mode, ingest_date)
+    return add_with_report(store, dataset, to_bronze(landing, dataset, ingest_date, ingested_at), mode, ingest_date)
+
+
+def add_with_report(store: TableStore, dataset: str, rows: DataFrame, mode: str, ingest_date: str) -> LoadReport:
+    """Store bronze rows; the job that writes them counts them."""
+    rows, seen = observed(rows)
+    store.add_bronze(dataset, rows, mode, ingest_date)
+    return report_of(seen)
 
 
 # ------------------------------------------------------------------- silver

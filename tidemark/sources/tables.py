@@ -106,6 +106,11 @@ class TableStore:
         rows = self._scan("bronze", name, schema)
         return rows if ingest_date is None else rows.where(F.col("ingest_date") == ingest_date)
 
+    def delivery_dates(self, name: str) -> list[str]:
+        """All dates a bronze table was delivered for, from its folders."""
+        path = self.path("bronze", name)
+        return sorted(unquote(folder) for folder in self._partition_files(path, "ingest_date"))
+
     # -------------------------------------------------------- silver and gold
 
     def schema(self, layer: str, name: str) -> StructType | None:

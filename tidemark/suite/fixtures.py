@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.schemas import DATASETS
+
 # Process dates and stamps of the first and the second delivery.
 FIRST_DATE, SECOND_DATE = "2024-01-15", "2024-01-31"
 FIRST_TS, SECOND_TS = "2024-01-15 06:00:00", "2024-01-31 06:00:00"
@@ -110,6 +112,79 @@ RAW = {
   FROM {documents}""",
 }
 
+# The same rows with faults in every column a rule looks at: a value in so many is missing, unreadable or out of bounds, and
+# rows with a time come again with another one.
+_FAULTS = {
+    "customers": {
+        "customer_id": {"customer_id % 31 = 0": "NULL"},
+        "age": {"customer_id % 37 = 1": "-3"},
+        "name": {"customer_id % 29 = 1": "NULL"},
+    },
+    "orders": {
+        "order_id": {"order_id % 31 = 0": "NULL"},
+        "customer_id": {"order_id % 29 = 1": "NULL"},
+        "total_usd": {"order_id % 23 = 1": "NULL", "order_id % 23 = 2": "-1.0E0 - total_usd"},
+        "discount_pct": {"order_id % 19 = 1": "-5.0E0"},
+    },
+    "order_items": {
+        "order_id": {"(order_id + product_id) % 31 = 0": "NULL"},
+        "product_id": {"(order_id + product_id) % 29 = 1 OR (order_id + product_id) % 62 = 0": "NULL"},
+        "quantity": {"order_id % 23 = 1": "NULL", "order_id % 23 = 2": "-quantity", "order_id % 23 = 3": "0"},
+        "unit_price_usd": {"product_id % 19 = 1": "NULL", "product_id % 19 = 2": "-unit_price_usd"},
+        "line_total_usd": {"order_id % 17 = 1": "NULL", "order_id % 17 = 2": "line_total_usd + 0.5E0"},
+    },
+    "events": {
+        "event_id": {"event_id % 31 = 0": "NULL"},
+        "session_id": {"event_id % 29 = 1": "NULL"},
+        "timestamp": {"event_id % 23 = 1": "'never'", "event_id % 23 = 2": "NULL"},
+        "event_type": {"event_id % 19 = 1": "'  '", "event_id % 19 = 2": "NULL"},
+        "product_id": {"event_id % 17 = 1": "NULL"},
+        "qty": {"event_id % 13 = 1": "NULL"},
+        "payment": {"event_id % 11 = 1": "' '"},
+        "amount_usd": {"event_id % 7 = 1": "NULL"},
+    },
+    "products": {
+        "product_id": {"product_id % 31 = 0": "NULL"},
+        "name": {"product_id % 29 = 1": "'  '"},
+        "price_usd": {"product_id % 23 = 1": "NULL", "product_id % 23 = 2": "-price_usd", "product_id % 23 = 3": "0.0E0"},
+        "cost_usd": {"product_id % 19 = 1": "NULL", "product_id % 19 = 2": "-1.0E0", "product_id % 19 = 3": "cost_usd + 900.0E0"},
+        "margin_usd": {"product_id % 17 = 1": "-margin_usd", "product_id % 17 = 2": "NULL"},
+    },
+    "reviews": {
+        "review_id": {"review_id % 31 = 0": "NULL"},
+        "order_id": {"review_id % 29 = 1": "NULL"},
+        "product_id": {"review_id % 23 = 1": "NULL"},
+        "review_time": {"review_id % 19 = 1": "'soon'"},
+        "rating": {"review_id % 17 = 1": "6", "review_id % 17 = 2": "-1"},
+    },
+    "sessions": {
+        "session_id": {"session_id % 31 = 0": "NULL"},
+        "customer_id": {"session_id % 29 = 1": "NULL"},
+        "start_time": {"session_id % 23 = 1": "'soon'", "session_id % 23 = 2": "'2031-05-06 07:08:09'"},
+        "device": {"session_id % 19 = 1": "''"},
+    },
+}
+_MOMENTS = {"orders": ("order_id", "order_time"), "events": ("event_id", "timestamp"), "reviews": ("review_id", "review_time"), "sessions": ("session_id", "start_time")}
+
+
+def _faulty(dataset: str, columns: tuple[str, ...]) -> str:
+    def chosen(column: str) -> str:
+        cases = " ".join(f"WHEN {condition} THEN {value}" for condition, value in _FAULTS[dataset].get(column, {}).items())
+        return f"CASE {cases} ELSE {column} END AS {column}" if cases else column
+
+    rows = f"SELECT {', '.join(map(chosen, columns))} FROM raw_{dataset}"
+    if dataset not in _MOMENTS:
+        return rows
+    key, moment = _MOMENTS[dataset]
+    again = ", ".join(f"'1970-01-02 03:04:05' AS {c}" if c == moment else c for c in columns)
+    return f"{rows} UNION ALL SELECT {again} FROM raw_{dataset} WHERE {key} % 5 = 0"
+
+
+RAW |= {
+    f"hard_{dataset}": _faulty(dataset, tuple(entry.split()[0] for entry in DATASETS[dataset].ddl.split(",")))
+    for dataset in _FAULTS
+}
+
 # Two deliveries that together hold every row, split by business time as deliveries are. The
 # second brings what is new since the first, and delivers some rows again, in part with
 # changed values. Unreadable times sort behind all dates, so such rows come second.
@@ -164,11 +239,9 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def raw(spark: SparkSession, sf_dir: str, dataset: str, delivery: int | None = None) -> DataFrame:
-    """A landing-shaped frame: all rows, or those of one delivery."""
-    from tidemark.sources.schemas import DATASETS
-
-    last = f"SELECT * FROM raw_{dataset}"
+def raw(spark: SparkSession, sf_dir: str, dataset: str, delivery: int | None = None, kind: str = "raw") -> DataFrame:
+    """A landing-shaped frame: all rows, or those of one delivery; with ``kind`` "hard" the ones with faults."""
+    last = f"SELECT * FROM {kind}_{dataset}"
     if delivery is not None:
         last = delivery_sql(dataset, delivery, DATASETS[dataset].columns)
     ctes = ", ".join(f"{entry} AS ({RAW[entry]})" for entry in needed_raw(last))

@@ -407,6 +407,9 @@ for _ds in COLUMNS:
     ):
         _source = f"(SELECT *, TIMESTAMP '{_ts}' AS ingested FROM {_raw}_{_ds})"
         RELATIONS[f"{_world}_{_ds}"] = silver(_ds, _source, _day, _ts)
+    _named = " OR ".join(f"{k} IS NOT NULL" for k in KEYS[_ds])
+    _source = f"(SELECT *, TIMESTAMP '{FIRST_TS}' AS ingested FROM hard_{_ds} WHERE {_named})"
+    RELATIONS[f"h_{_ds}"] = silver(_ds, _source, FIRST_DATE, FIRST_TS)
     if _ds == "products":
         _both = f"""(SELECT *, TIMESTAMP '{FIRST_TS}' AS ingested FROM raw1_products
           UNION ALL SELECT *, TIMESTAMP '{SECOND_TS}' FROM raw2_products)"""

@@ -6,13 +6,14 @@ Every query runs over the whole of the tables it reads.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import attribute_hash, blank_to_null
 from tidemark.operators import dedup, dimensions, keys, lookup, succession, upsert
-from tidemark.plans import gold, watermark
+from tidemark.plans import gold, runs, watermark
 from tidemark.plans import bronze as bronze_plan
 from tidemark.plans import silver as silver_plan
 from tidemark.sources import catalog, statistics
@@ -152,10 +153,55 @@ def _register_layers(dataset: str) -> None:
         )
 
 
+    @query(f"silver_hard_{dataset}", f"SELECT * FROM h_{dataset}")
+    def cleaned_of_faults(spark: SparkSession, sf: str) -> DataFrame:
+        rows = bronze_plan.to_bronze(raw(spark, sf, dataset, kind="hard"), dataset, FIRST_DATE, FIRST_TS)
+        return silver_plan.clean(rows, dataset, FIRST_DATE, FIRST_TS)
+
+
 for _dataset in DATASETS:
     _register_layers(_dataset)
 
 
+@query(
+    "fault_report",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS dataset, coalesce(code, 'valid') AS code, count(*) AS records
+        FROM (SELECT unnest(string_split(coalesce(validation_errors, 'valid'), ',')) AS code FROM h_{name}) GROUP BY code"""
+        for name in DATASETS
+    ),
+)
+def fault_report(spark: SparkSession, sf: str) -> DataFrame:
+    # Every rule that a usable record can break is broken somewhere.
+    parts = []
+    for name in DATASETS:
+        rows = bronze_plan.to_bronze(raw(spark, sf, name, kind="hard"), name, FIRST_DATE, FIRST_TS)
+        checked = silver_plan.with_validation(silver_plan.prepared(rows, name), name, FIRST_DATE)
+        codes = F.explode(F.split(F.coalesce("validation_errors", F.lit("valid")), ",")).alias("code")
+        parts.append(checked.select(F.lit(name).alias("dataset"), codes).groupBy("dataset", "code").agg(F.count("*").alias("records")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "load_report",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS dataset, count(*) AS records, count(*) FILTER ({named}) AS usable,
+        count(*) FILTER (NOT ({named})) AS unusable FROM hard_{name}"""
+        for name, named in (
+            (name, " OR ".join(f"{key} IS NOT NULL" for key in DATASETS[name].key)) for name in DATASETS
+        )
+    ),
+)
+def load_report(spark: SparkSession, sf: str) -> DataFrame:
+    # Counted while the rows are written; nothing is read again.
+    store, parts = scratch(spark), []
+    for name in DATASETS:
+        rows = bronze_plan.to_bronze(raw(spark, sf, name, kind="hard"), name, FIRST_DATE, FIRST_TS)
+        report = runs.add_with_report(store, name, rows, "replace", FIRST_DATE)
+        parts.append((name, report.records, report.usable, report.unusable))
+    return spark.createDataFrame(parts, "dataset STRING, records LONG, usable LONG, unusable LONG")
+
+
 @query(
     "normalize_columns",
     "SELECT n_nationkey AS nation_key, n_name AS nation_name, n_regionkey AS region FROM nation",
