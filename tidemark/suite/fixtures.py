@@ -99,13 +99,13 @@ RAW = {
   SELECT event_id * 8, {_DAY_SESSION}, CAST(date_trunc('second', ts) AS STRING),
     CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'add_to_cart' WHEN 'signup' THEN 'checkout'
       ELSE event_type END,
-    CASE WHEN event_type IN ('view', 'click') THEN CAST(event_id % 200 AS DOUBLE) END,
+    CASE WHEN event_type IN ('view', 'click') THEN CAST(event_id % (SELECT count(*) FROM {{part}}) AS DOUBLE) END,
     CASE WHEN event_type = 'click' THEN 1.0E0 END, CASE WHEN event_type = 'signup' THEN 1.0E0 END,
     CASE WHEN event_type = 'purchase' THEN 'card' END, NULL, CASE WHEN event_type = 'purchase' THEN value END
   FROM {{events}}""",
     "raw_reviews": """
-  SELECT CAST(doc_id AS BIGINT) AS review_id, CAST(doc_id % 1500 AS BIGINT) AS order_id,
-    CAST(doc_id % 200 AS BIGINT) AS product_id,
+  SELECT CAST(doc_id AS BIGINT) AS review_id, CAST(doc_id % (SELECT count(*) FROM {orders}) AS BIGINT) AS order_id,
+    CAST(doc_id % (SELECT count(*) FROM {part}) AS BIGINT) AS product_id,
     CASE WHEN doc_id % 43 = 0 THEN NULL ELSE CAST(doc_id % 7 AS INT) END AS rating,
     text AS review_text,
     CAST(TIMESTAMP '2024-01-01 00:00:00' + CAST(doc_id % 500 AS INT) * INTERVAL '1' HOUR AS STRING) AS review_time
