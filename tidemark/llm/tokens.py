@@ -19,6 +19,8 @@ BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A word with the one blank before it; or blanks but for the last before a word.
 BYTE_LEVEL = re.compile(f" ?[^{BLANKS}]+|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+")
 WORD_LEVEL = re.compile(f"[^{BLANKS}]+")
+#: What ``str.split`` cuts at and White_Space does not hold.
+BREAKS = re.compile("[\x1c-\x1f]")
 PATTERNS = {"byte": BYTE_LEVEL, "word": WORD_LEVEL}
 
 #: Words and ids remembered by a worker; beyond them it starts anew.
@@ -26,7 +28,7 @@ REMEMBERED_WORDS = 300_000
 REMEMBERED_IDS = 4_000_000
 LONGEST_REMEMBERED = 64
 #: Unknown words encoded in one go.
-TOGETHER = 2_000
+TOGETHER = 8_000
 
 
 class Encoder:
@@ -81,8 +83,10 @@ class Encoder:
             if bounds is None:
                 alone += part
                 continue
-            for piece, lo, hi in zip(part, bounds[:-1], bounds[1:]):
-                self._keep(piece, ids[lo:hi].tobytes())
+            known, base = len(self.ends) - 1, len(self.flat)
+            self.number.update(zip(part, range(known, known + len(part))))
+            self.flat.frombytes(ids.tobytes())
+            self.ends.frombytes((bounds[1:] + base).tobytes())
         for at in range(0, len(alone), 10_000):
             part = alone[at : at + 10_000]
             for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
@@ -92,7 +96,7 @@ class Encoder:
         """Words that the tokenizer cuts off from what stands before them."""
         return len(piece) <= LONGEST_REMEMBERED and (self.kind == "word" or (piece[0] == " " and piece[-1] != " "))
 
-    def _together(self, pieces: list[str]) -> tuple[list[int] | None, np.ndarray]:
+    def _together(self, pieces: list[str]) -> tuple[np.ndarray | None, np.ndarray]:
         """Ids of several words encoded as one text, and where each word's begin. An id stands for a known number of bytes, so the words'
         lengths tell their ids apart; None where they do not."""
         text = " ".join(pieces) if self.kind == "word" else "".join(pieces)
@@ -104,7 +108,7 @@ class Encoder:
         bounds = np.searchsorted(after, ends)
         if bounds[-1] != len(ids) or (after[np.minimum(bounds, len(after) - 1)] != ends).any():
             return None, ids
-        return bounds.tolist(), ids
+        return bounds.astype(np.int64), ids
 
     def encode(self, texts: list[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids as uint32, and the bounds of each text in them (one more than texts). ``end_id`` follows each text."""
@@ -115,7 +119,12 @@ class Encoder:
         for i, text in enumerate(texts):
             if text:
                 # an added token inside a text is cut out before anything else: leave such a text whole
-                found = [text] if any(a in text for a in self.added) else self.pattern.findall(text)
+                if any(a in text for a in self.added):
+                    found = [text]
+                elif self.kind == "word" and not BREAKS.search(text):
+                    found = text.split()
+                else:
+                    found = self.pattern.findall(text)
                 counts[i] = len(found)
                 pieces += found
         new = set(pieces).difference(self.number)
