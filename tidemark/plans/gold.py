@@ -397,8 +397,8 @@ def funnel_purchase_dates(
     )
 
 
-def funnel_dates(events: DataFrame, sessions: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per customer and product seen in any stage, with the first date of each stage."""
+def funnel_visits(events: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Dates of the stages up to the checkout, in rows that are not merged yet."""
     views = product_events(events, "page_view").select(
         "session_id", "product_id", F.col("event_date").alias("first_view_date")
     )
@@ -409,34 +409,67 @@ def funnel_dates(events: DataFrame, sessions: DataFrame, orders: DataFrame, item
         F.to_date("checkout_ts").alias("first_checkout_date"),
     )
     steps = views.unionByName(carts, allowMissingColumns=True)
-    visits = with_session_customer(steps, sessions).drop("session_id")
+    return with_session_customer(steps, sessions).drop("session_id")
+
+
+def funnel_dates(events: DataFrame, sessions: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
+    """One row per customer and product seen in any stage, with the first date of each stage."""
     purchases = funnel_purchase_dates(events, sessions, orders, items)
-    stages = (
-        "first_view_date",
-        "first_add_to_cart_date",
-        "first_checkout_date",
-        "first_purchase_date",
-    )
-    return (
-        visits.unionByName(purchases, allowMissingColumns=True)
-        .groupBy("customer_id", "product_id")
-        .agg(*[F.min(stage).alias(stage) for stage in stages])
-    )
+    return earliest(funnel_visits(events, sessions).unionByName(purchases, allowMissingColumns=True))
 
 
-def fact_customer_funnel(
-    events: DataFrame, sessions: DataFrame, orders: DataFrame, items: DataFrame, dims: Frames
+# What the funnel keeps of events and of its own rows from run to run. Both merge: steps by union, dates by the smaller one.
+FUNNEL_STEPS, FUNNEL_STATE = "funnel_steps", "funnel_state"
+FUNNEL_DATES = ("first_view_date", "first_add_to_cart_date", "first_checkout_date", "first_purchase_date")
+
+
+def funnel_steps(events: DataFrame) -> DataFrame:
+    """All the funnel needs of events, by process date: the first view and cart of each session and product, the moments of its
+    checkouts and purchases. ``funnel_dates`` takes steps for events; steps of the same events delivered again change nothing."""
+    seen = events.where("event_type IN ('page_view', 'add_to_cart') AND product_id IS NOT NULL")
+    first = seen.groupBy("silver_process_date", "session_id", "event_type", "product_id").agg(F.min("timestamp").alias("timestamp"))
+    moments = events.where("event_type IN ('checkout', 'purchase')")
+    moments = moments.select("silver_process_date", "session_id", "event_type", "timestamp").distinct()
+    return first.unionByName(moments, allowMissingColumns=True).withColumn("event_date", F.to_date("timestamp"))
+
+
+def funnel_delta(
+    steps: DataFrame, sessions: DataFrame, orders: DataFrame, items: DataFrame, since: str
 ) -> DataFrame:
+    """Funnel dates that rows processed after ``since`` may bring or make earlier: those of every session, and of every order, they touch."""
+    fresh = processed_since(steps, since)
+    touched = fresh.select("session_id").union(processed_since(sessions, since).select("session_id")).distinct()
+    visited = restrict_to(steps, touched, "session_id")
+    owners = restrict_to(sessions, touched, "session_id")
+    bought = purchase_moments(visited, owners).select("customer_id", F.col("timestamp").alias("order_time"))
+    late = processed_since(orders, since).select("order_id").union(processed_since(items, since).select("order_id"))
+    concerned = orders.join(bought, ["customer_id", "order_time"], "left_semi").select("order_id").union(late).distinct()
+    their_orders, their_items = restrict_to(orders, concerned, "order_id"), restrict_to(items, concerned, "order_id")
+    purchases = funnel_purchase_dates(steps.where("event_type = 'purchase'"), sessions, their_orders, their_items)
+    visits = funnel_visits(visited, owners)
+    return earliest(visits.unionByName(purchases, allowMissingColumns=True))
+
+
+def earliest(dates: DataFrame) -> DataFrame:
+    return dates.groupBy("customer_id", "product_id").agg(*[F.min(stage).alias(stage) for stage in FUNNEL_DATES])
+
+
+def funnel_fact(dates: DataFrame, dims: Frames) -> DataFrame:
     """Funnel rows whose customer and product are both current members of their dimensions."""
     customers = current_versions(dims["dim_customers"]).select("customer_id", "customer_key")
     products = current_versions(dims["dim_products"]).select("product_id", "product_key")
-    rows = funnel_dates(events, sessions, orders, items)
-    rows = rows.join(customers, "customer_id").join(products, "product_id")
+    rows = dates.join(customers, "customer_id").join(products, "product_id")
     for stage in ("view", "add_to_cart", "checkout", "purchase"):
         rows = _date_key(rows, dims, f"first_{stage}_date", f"first_{stage}_date_key")
     return rows.select(*FACTS["fact_customer_funnel"].columns)
 
 
+def fact_customer_funnel(
+    events: DataFrame, sessions: DataFrame, orders: DataFrame, items: DataFrame, dims: Frames
+) -> DataFrame:
+    return funnel_fact(funnel_dates(events, sessions, orders, items), dims)
+
+
 # --------------------------------------------------------- full and delta rows
 
 

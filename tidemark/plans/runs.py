@@ -233,6 +233,8 @@ def build_gold(
         start = _largest(store, table, "product_key", existing)
         store.overwrite("gold", table, gold.dim_products(products, category, process_ts, existing, start))
     else:
+        if table == "fact_customer_funnel":
+            return _build_funnel(store, plan.since if plan.action == "incremental" and existing is not None else None)
         # A fact that is missing is built whole even when a watermark exists.
         in_full = plan.action == "full" or existing is None or gold.FACTS[table].source is None
         return _build_fact(store, table, None if in_full else plan.since)
@@ -253,6 +255,30 @@ def _build_fact(store: TableStore, table: str, since: str | None) -> str:
     return "incremental"
 
 
+def _build_funnel(store: TableStore, since: str | None) -> str:
+    """The funnel from its kept steps and dates; an increment reads new events only and merges what they change.
+
+    A corrected event keeps the dates its first version gave until the next full build.
+    """
+    silver = {name: store.read("silver", name) for name in ("events", "sessions", "orders", "order_items")}
+    ok = {name: gold.valid_rows(frame) for name, frame in silver.items()}
+    others = [ok[name] for name in ("sessions", "orders", "order_items")]
+    known = store.read_if_exists("gold", gold.FUNNEL_STATE)
+    in_full = since is None or known is None or not store.exists("gold", gold.FUNNEL_STEPS)
+    if in_full:
+        store.overwrite("gold", gold.FUNNEL_STEPS, gold.funnel_steps(ok["events"]), "silver_process_date")
+        dates = gold.funnel_dates(store.read("gold", gold.FUNNEL_STEPS), *others)
+    else:
+        fresh = gold.funnel_steps(gold.processed_since(ok["events"], since))
+        store.replace_partitions("gold", gold.FUNNEL_STEPS, fresh, "silver_process_date")
+        delta = gold.funnel_delta(store.read("gold", gold.FUNNEL_STEPS), *others, since)
+        dates = gold.earliest(known.unionByName(delta))
+    store.overwrite("gold", gold.FUNNEL_STATE, dates)
+    rows = gold.funnel_fact(store.read("gold", gold.FUNNEL_STATE), _dims(store))
+    store.overwrite("gold", "fact_customer_funnel", gold.keyed(rows, "fact_customer_funnel"))
+    return "full" if in_full else "incremental"
+
+
 # ------------------------------------------------------------------- layers
 
 # Independent items of a layer run side by side from this many threads, so that small
@@ -337,9 +363,11 @@ def run_gold(
     def step(table: str) -> Callable[[], str]:
         source = gold.FACTS[table].source if table in gold.FACTS else None
         plan = marks.get(source, overall)
-        if per_dataset and source is None and plan.action == "incremental":
+        if per_dataset and source is None and plan.action == "incremental" and table != "fact_customer_funnel":
             # a late dataset may bring values dated before the overall mark: look at all of them
             plan = Gate("incremental", "")
+        elif per_dataset and table == "fact_customer_funnel" and plan.action == "incremental":
+            plan = Gate("full")
         return lambda: build_gold(store, table, process_date, process_ts, mode, plan)
 
     summary = Summary()

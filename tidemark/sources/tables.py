@@ -167,6 +167,13 @@ class TableStore:
         self._declare(layer, name, schema)
         KeyIndex.forget(self._files, self.base, layer, name)
 
+    def replace_partitions(self, layer: str, name: str, rows: DataFrame, by: str) -> None:
+        """Put ``rows`` in the place of the partitions they fall into; all others stay. Not for tables that are also merged."""
+        known = self.schema(layer, name)
+        schema = rows.schema if known is None else wider_schema(known, rows.schema)
+        self._replace_partitions(self.path(layer, name), rows.hint("rebalance", by), by, [])
+        self._declare(layer, name, schema)
+
     def upsert(
         self,
         layer: str,

@@ -508,38 +508,40 @@ for _name, (_rows, _key, _business) in DELTAS.items():
     )
     RELATIONS[f"f2_{_name}"] = upserted(f"f1_{_name}", f"incoming_{_name}", _business)
 
-RELATIONS["visits"] = f"""SELECT e.*, s.customer_id FROM {valid('s_events')} e
-  JOIN {valid('s_sessions')} s ON e.session_id = s.session_id"""
-RELATIONS["view_dates"] = """SELECT customer_id, product_id, min(event_date) AS first_view_date FROM visits
-  WHERE event_type = 'page_view' AND product_id IS NOT NULL GROUP BY customer_id, product_id"""
-RELATIONS["cart_dates"] = """SELECT customer_id, product_id, min(event_date) AS first_add_to_cart_date FROM visits
-  WHERE event_type = 'add_to_cart' AND product_id IS NOT NULL GROUP BY customer_id, product_id"""
-RELATIONS["checkout_dates"] = """SELECT c.customer_id, c.product_id, min(k.event_date) AS first_checkout_date
-  FROM (SELECT * FROM visits WHERE event_type = 'add_to_cart' AND product_id IS NOT NULL) c
-  JOIN (SELECT * FROM visits WHERE event_type = 'checkout') k
-    ON k.session_id = c.session_id AND k.customer_id = c.customer_id AND c.timestamp <= k.timestamp
-  GROUP BY c.customer_id, c.product_id"""
-RELATIONS["order_map"] = f"""SELECT DISTINCT b.session_id, b.customer_id, o.order_id, o.order_date
-  FROM visits b JOIN {valid('s_orders')} o ON b.customer_id = o.customer_id AND b.timestamp = o.order_time
-  WHERE b.event_type = 'purchase'"""
-RELATIONS["purchase_dates"] = f"""SELECT m.customer_id, i.product_id, min(m.order_date) AS first_purchase_date
-  FROM order_map m JOIN {valid('s_order_items')} i ON m.order_id = i.order_id
-  GROUP BY m.customer_id, i.product_id"""
-RELATIONS["funnel_pairs"] = """SELECT customer_id, product_id FROM view_dates
-  UNION SELECT customer_id, product_id FROM cart_dates UNION SELECT customer_id, product_id FROM checkout_dates
-  UNION SELECT customer_id, product_id FROM purchase_dates"""
-_keys = ", ".join(
-    f"{look(f'first_{stage}_date', 'g_date', 'full_date', 'date_key')} AS first_{stage}_date_key"
-    for stage in ("view", "add_to_cart", "checkout", "purchase")
-)
-RELATIONS["funnel_rows"] = f"""SELECT c.customer_key, p.product_key, {_keys}
-  FROM funnel_pairs b LEFT JOIN view_dates USING (customer_id, product_id)
-  LEFT JOIN cart_dates USING (customer_id, product_id)
-  LEFT JOIN checkout_dates USING (customer_id, product_id)
-  LEFT JOIN purchase_dates USING (customer_id, product_id)
-  JOIN {current('', 'customers')} c ON b.customer_id = c.customer_id
-  JOIN {current('', 'products')} p ON b.product_id = p.product_id"""
-RELATIONS["f_customer_funnel"] = numbered("SELECT * FROM funnel_rows", "funnel_key", ["customer_key", "product_key"])
+# The funnel of the whole input, and after the second delivery.
+for _w in ("", "2"):
+    RELATIONS[f"visits{_w}"] = f"""SELECT e.*, s.customer_id FROM {valid(f's{_w}_events')} e
+      JOIN {valid(f's{_w}_sessions')} s ON e.session_id = s.session_id"""
+    RELATIONS[f"view_dates{_w}"] = f"""SELECT customer_id, product_id, min(event_date) AS first_view_date FROM visits{_w}
+      WHERE event_type = 'page_view' AND product_id IS NOT NULL GROUP BY customer_id, product_id"""
+    RELATIONS[f"cart_dates{_w}"] = f"""SELECT customer_id, product_id, min(event_date) AS first_add_to_cart_date FROM visits{_w}
+      WHERE event_type = 'add_to_cart' AND product_id IS NOT NULL GROUP BY customer_id, product_id"""
+    RELATIONS[f"checkout_dates{_w}"] = f"""SELECT c.customer_id, c.product_id, min(k.event_date) AS first_checkout_date
+      FROM (SELECT * FROM visits{_w} WHERE event_type = 'add_to_cart' AND product_id IS NOT NULL) c
+      JOIN (SELECT * FROM visits{_w} WHERE event_type = 'checkout') k
+        ON k.session_id = c.session_id AND k.customer_id = c.customer_id AND c.timestamp <= k.timestamp
+      GROUP BY c.customer_id, c.product_id"""
+    RELATIONS[f"order_map{_w}"] = f"""SELECT DISTINCT b.session_id, b.customer_id, o.order_id, o.order_date
+      FROM visits{_w} b JOIN {valid(f's{_w}_orders')} o ON b.customer_id = o.customer_id AND b.timestamp = o.order_time
+      WHERE b.event_type = 'purchase'"""
+    RELATIONS[f"purchase_dates{_w}"] = f"""SELECT m.customer_id, i.product_id, min(m.order_date) AS first_purchase_date
+      FROM order_map{_w} m JOIN {valid(f's{_w}_order_items')} i ON m.order_id = i.order_id
+      GROUP BY m.customer_id, i.product_id"""
+    RELATIONS[f"funnel_pairs{_w}"] = f"""SELECT customer_id, product_id FROM view_dates{_w}
+      UNION SELECT customer_id, product_id FROM cart_dates{_w} UNION SELECT customer_id, product_id FROM checkout_dates{_w}
+      UNION SELECT customer_id, product_id FROM purchase_dates{_w}"""
+    _keys = ", ".join(
+        f"{look(f'first_{stage}_date', f'g{_w}_date', 'full_date', 'date_key')} AS first_{stage}_date_key"
+        for stage in ("view", "add_to_cart", "checkout", "purchase")
+    )
+    RELATIONS[f"funnel_rows{_w}"] = f"""SELECT c.customer_key, p.product_key, {_keys}
+      FROM funnel_pairs{_w} b LEFT JOIN view_dates{_w} USING (customer_id, product_id)
+      LEFT JOIN cart_dates{_w} USING (customer_id, product_id)
+      LEFT JOIN checkout_dates{_w} USING (customer_id, product_id)
+      LEFT JOIN purchase_dates{_w} USING (customer_id, product_id)
+      JOIN {current(_w, 'customers')} c ON b.customer_id = c.customer_id
+      JOIN {current(_w, 'products')} p ON b.product_id = p.product_id"""
+    RELATIONS[f"f{_w}_customer_funnel"] = numbered(f"SELECT * FROM funnel_rows{_w}", "funnel_key", ["customer_key", "product_key"])
 
 # Small stand-alone inputs of single queries.
 # A CSV scan reads an empty cell, quoted or not, as NULL.
