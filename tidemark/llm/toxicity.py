@@ -10,6 +10,7 @@ are scored by their log odds in toxic and other texts, and a logistic regression
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -204,8 +205,14 @@ class Restorer:
     def __init__(self, model: np.ndarray, counts: dict[str, int] | None = None):
         self.model = model.tolist()
         self.counts = counts or {}
-        #: words as counted that stand as they are: plain letters, none of them doubled
-        self.plain = frozenset(w for w in self.counts if PLAIN.fullmatch(w) and not DOUBLE.search(w))
+        letters = [w for w in self.counts if PLAIN.fullmatch(w)]
+        alike: dict[str, int] = {}
+        for w in letters:
+            single = RUN.sub(r"\1", w)
+            alike[single] = max(alike.get(single, 0), self.counts[w])
+        #: words as counted that stand as they are: plain letters, none of them doubled, or no way to read the doubled ones is
+        #: so much more frequent that it could displace the word
+        self.plain = frozenset(w for w in letters if not DOUBLE.search(w) or self.counts[w] >= DISGUISED * alike[RUN.sub(r"\1", w)])
         self.known: dict[str, str] = {}
 
     def word(self, token: str) -> str:
@@ -270,17 +277,34 @@ class Restorer:
         out: set[str] = set()
         for piece in _pieces(text):
             low = piece.lower()
-            tokens = set(SHORT.sub(" ", low).split())
+            parts, spans, at = [], set(), 0
+            for span in SHORT.finditer(low):
+                parts.append(low[at : span.start()])
+                spans.add(span.group())
+                at = span.end()
+            parts.append(low[at:])
+            tokens = set(" ".join(parts).split())
             known = tokens & self.plain
             out |= known
             for token in tokens - known:
                 out.update(self.word(token).split())
-            for span in set(SHORT.findall(low)):
+            for span in spans:
                 tokens_of = span.split()
                 out.update(self._remembered(" ".join(tokens_of), lambda: self._joined(tokens_of)).split())  # noqa: B023
         return out
 
 
+KEPT: dict[str, Restorer] = {}
+
+
+def kept(key: str, letters: np.ndarray, counts: dict[str, int]) -> Restorer:
+    """The worker's restorer of a model; it keeps what it remembers from task to task."""
+    if key not in KEPT:
+        KEPT.clear()
+        KEPT[key] = Restorer(letters, counts)
+    return KEPT[key]
+
+
 @dataclass
 class Model:
     letters: np.ndarray
@@ -291,6 +315,8 @@ class Model:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
     #: the frequent words of all texts learned from, as written
     counts: dict[str, int] = field(default_factory=dict)
+    #: tells this model's restorers from others'
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def odds(self, t: int, c: int) -> float:
         return float(np.log((t + 0.2) / (self.toxic + 1)) - np.log((c + 0.2) / (self.other + 1)))
@@ -308,9 +334,9 @@ class Model:
         return [1.0, max(odds, default=0.0), min(sum(odds), 30.0), float(np.log1p(len(words)))]
 
 
-def _word_counts(letters: np.ndarray, counts: dict[str, int]):
+def _word_counts(model: Model):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(letters, counts)
+        restorer = kept(model.key, model.letters, model.counts)
         for batch in batches:
             toxic: Counter[str] = Counter()
             other: Counter[str] = Counter()
@@ -324,7 +350,7 @@ def _word_counts(letters: np.ndarray, counts: dict[str, int]):
 
 def _own_features(model: Model):
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(model.letters, model.counts)
+        restorer = kept(model.key, model.letters, model.counts)
         for batch in batches:
             labels = batch.column("toxic").to_pylist()
             rows = [model.features(restorer.distinct(t.as_py() or ""), y) for t, y in zip(batch.column("text"), labels)]
@@ -361,7 +387,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     model = Model(letters, toxic=sizes.get(1, 0), other=sizes.get(0, 0), counts=word_counts(docs, text_column))
     if not model.toxic or not model.other:
         return model
-    counted = learned.mapInArrow(_word_counts(letters, model.counts), "word string, t long, c long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    counted = learned.mapInArrow(_word_counts(model), "word string, t long, c long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     odds = F.round(F.log((F.col("t") + 0.2) / (F.col("c") + 0.2)), 3)
     candidates = stage(counted.where(F.col("t") >= LEAST_TOXIC).withColumn("odds", odds), "toxic-odds")
     model.words = {r["word"]: (r["t"], r["c"]) for r in largest_classes(candidates, "odds", WORDS).collect()}
@@ -374,7 +400,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 
 def _scorer(model: Model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(model.letters, model.counts)
+        restorer = kept(model.key, model.letters, model.counts)
         for batch in batches:
             rows = np.array([model.features(restorer.distinct(t.as_py() or "")) for t in batch.column(1)]).reshape(-1, 4)
             p = 1 / (1 + np.exp(-np.clip(rows @ model.weights, -30, 30)))
