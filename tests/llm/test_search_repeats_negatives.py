@@ -292,3 +292,30 @@ def test_lookups_are_exact_products():
             assert (four_russians.scores(four_russians.subset_sums(numbers[0]), planes) == want).all()
     ends = four_russians.whole(np.array([[1e300, -1e300, 0.999 / 256, -1e-9]]), 256)
     assert ends.tolist() == [[2**63 - 1, -(2**63), 0, -1]]
+
+
+# -------------------------------------------------------- columns with any name
+
+
+def test_mixing_takes_rows_whatever_their_columns_are_called(spark):
+    from tidemark.llm import mixing
+
+    names = ["__source", "__source_size", "__target", "__whole", "__cut", "__copies", "__copy", "row", "own", "h", "size"]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names)
+    rows = [(i, "some words of text " * (1 + i % 7), "ab"[i % 2] if i % 5 else None, *[i] * len(names)) for i in range(60)]
+    docs = ship(spark).createDataFrame(rows, schema)
+    plain = docs.select("doc_id", "text", "source")
+    want = Counter(r["doc_id"] for r in mixing.take(plain).collect())
+    got = mixing.take(docs)
+    assert got.columns == docs.columns
+    taken = got.collect()
+    assert Counter(r["doc_id"] for r in taken) == want and all(r["__cut"] == r["doc_id"] == r["h"] for r in taken)
+
+
+def test_large_classes_are_collected_whole(spark):
+    from tidemark.llm.common import largest_classes
+
+    values = [9, 9, 7, 7, 7, 3, 2, 2, 2, 2, 1, 0, -4, -4]
+    frame = spark.createDataFrame([(float(v),) for v in values], "n double").repartition(5)
+    for limit, want in ((0, 0), (1, 0), (2, 2), (4, 2), (5, 5), (6, 6), (9, 6), (10, 10), (13, 12), (14, 14), (99, 14)):
+        assert sorted((r["n"] for r in largest_classes(frame, "n", limit).collect()), reverse=True) == values[:want]

@@ -117,13 +117,19 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
 
 
 def take(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, share: float = 1.0) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken. Texts are not shuffled."""
+    """The mix itself: the rows of ``docs``, each as often as it is taken. Texts are not shuffled.
+
+    Null texts have no words; a row whose size is 0 is taken as its hash says. Rows of one id go together. Other columns may have any name. An
+    empty table gives an empty one.
+    """
     rows = stage(sized(docs, id_column, text_column, source_column), "mix-sizes")
     cuts = _marked(thresholds(rows, weights, most, share))
-    joined = docs.join(cuts, F.col(source_column).cast("string").eqNullSafe(F.col("__source")))
-    copies = _copies(spread(F.col(id_column)))
-    kept = joined.withColumn("__copies", copies).where("__copies > 0")
-    return kept.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the row travels as one column, so that its names meet none of these
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    own = docs.select(whole, F.col(source_column).cast("string").alias("own"), spread(F.col(id_column)).alias("h"))
+    joined = own.join(cuts, F.col("own").eqNullSafe(F.col("__source"))).withColumn("__copies", _copies(F.col("h"))).where("__copies > 0")
+    kept = joined.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 ORACLE = r"""
