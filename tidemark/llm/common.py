@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Iterator
@@ -59,6 +60,14 @@ def batch_of(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
 
+def hand_back() -> None:
+    """Give the memory that earlier tasks of this worker have freed back to the machine, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Runs:
     """Cuts a stream of Arrow batches sorted by some columns into groups of whole runs of equal keys."""
 

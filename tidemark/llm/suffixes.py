@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import Runs, portions, run_bounds, stage
+from tidemark.llm.common import Runs, hand_back, portions, run_bounds, stage
 from tidemark.llm.rolling import grams, mix, prefix_hashes, sliding_min, span
 
 LENGTH = 50
@@ -95,19 +95,26 @@ def _pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, n
         yield flush()
 
 
+def _numbered(texts: list[str | None], lo: int, hi: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``_pieces`` of some of the texts, with rows numbered among all."""
+    for raw, owner, starts in _pieces(texts[lo:hi]):
+        yield raw, owner + lo, np.concatenate((np.zeros(lo, dtype=np.int64), starts))
+
+
 def _stretch_rows(batch: pa.RecordBatch):
-    texts = batch.column("text").to_pylist()
-    for lo, hi in portions(texts):
-        for raw, owner, starts in _pieces(texts[lo:hi]):
+    for start in range(0, batch.num_rows, 1024):
+        texts = batch.column("text").slice(start, 1024).to_pylist()
+        for raw, owner, starts in (buffer for lo, hi in portions(texts) for buffer in _numbered(texts, lo, hi)):
             value, content, first, n = stretches(raw, owner)
             if not len(first):
                 continue
             row = owner[first]
             begin = np.searchsorted(owner, row)  # rows stand in order in one buffer
-            yield value, content, first - begin + starts[row], n, row + lo
+            yield value, content, first - begin + starts[row], n, row + start
 
 
 def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hand_back()
     for batch in batches:
         doc = batch.column("doc").to_numpy()
         for value, _, _, _, row in _stretch_rows(batch):
@@ -123,6 +130,7 @@ def _in_table(value: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 def _shared(table):
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back()
         bits = table.value
         for batch in batches:
             doc, tag = batch.column("doc"), batch.column("tag")
