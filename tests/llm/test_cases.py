@@ -327,3 +327,45 @@ def test_packing_plan_ends_and_is_exact():
         for length, n in members:
             used[length] += n * repeats
     assert used == counts
+
+
+def test_encoder_takes_arrow_texts_as_the_tokenizer_does():
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from tidemark.llm import tokens
+    from tidemark.llm.common import KEPT, vocabulary
+
+    chosen = random.Random(3)
+    bits = ["a", "b", "Zz", "é", " ", " ", " ", "\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", " ", "0", "'s", "<|endoftext|>", "日本", "́", "x" * 70, "\x00"]
+    texts = ["".join(chosen.choice(bits) for _ in range(chosen.randrange(25))) for _ in range(1500)] + [None, "", " ", "a\nb c", "one two\nthree"]
+    for name, kind in (("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")):
+        path = vocabulary(name)
+        plain, mine = Tokenizer.from_file(path), tokens.Encoder(path, kind)
+        for _ in range(2):
+            ids, bounds = mine.encode(pa.array(texts, pa.string()), 7)
+            for i, text in enumerate(texts):
+                assert ids[bounds[i] : bounds[i + 1]].tolist() == [*plain.encode(text or "", add_special_tokens=False).ids, 7]
+            mine._forget()
+        assert tokens.encoder(path, kind) is tokens.encoder(path, kind)
+    for drop in KEPT:
+        drop()
+    assert tokens.encoder.cache_info().currsize == 0
+
+
+def test_stages_pass_texts_in_small_batches(spark):
+    import corpus_pipeline
+    from tidemark.llm.common import BATCH_ROWS
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.unset(name)
+    try:
+        rows = spark.createDataFrame([(1, "some text of a few words", "en", "web", 24)], "doc_id LONG, text STRING, lang STRING, source STRING, n_chars INT")
+        for _, function in corpus_pipeline.STAGES[:2]:
+            function(spark, rows, "").collect()
+            assert int(spark.conf.get(name)) <= BATCH_ROWS
+    finally:
+        spark.conf.set(name, before)

@@ -188,9 +188,9 @@ def _placer(places: dict[int, tuple[np.ndarray, ...]]):
 def _cutter(path: str, kind: str, limit: int, keep_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(1)
             for lo, hi in portions(texts):
-                ids, bounds = encoder(path, kind).encode(texts[lo:hi], END_ID)
+                ids, bounds = encoder(path, kind).encode(texts.slice(lo, hi - lo), END_ID)
                 raw = ids.astype("<u4")
                 sizes = np.diff(bounds)
                 n = -(-sizes // limit)

@@ -136,9 +136,9 @@ def _tokenizer(path: str, kind: str):
 
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(1)
             for lo, hi in portions(texts):
-                ids, bounds = encoder(path, kind).encode(texts[lo:hi], END_ID)
+                ids, bounds = encoder(path, kind).encode(texts.slice(lo, hi - lo), END_ID)
                 raw = ids.astype("<u4").tobytes()
                 sizes = np.diff(bounds)
                 blobs = [raw[4 * a : 4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
