@@ -88,3 +88,12 @@ def test_landing_files_are_compressed(spark, tmp_path):
     assert all(name.endswith(".csv.gz") for name in os.listdir(path) if name.startswith("part-"))
     back = spark.read.option("header", True).options(**lake.csv_options("customers")).csv(path)
     assert [tuple(r) for r in back.collect()] == [("1", " a ")]
+
+
+def test_deliveries_keep_tables_only(spark, tmp_path, settings):
+    deliveries = lake.TwoDeliveries(spark, "/root/testdata/sf0.001")
+    folder = deliveries.store.base.rsplit("/", 1)[0].removeprefix("file:")
+    assert os.listdir(folder) == ["tables"] or sorted(os.listdir(folder)) == ["landing", "tables"]
+    assert not os.path.exists(f"{folder}/events")
+    assert not [name for _, _, names in os.walk(f"{folder}/landing") for name in names]
+    assert deliveries.gold("fact_order").count() > 0
