@@ -6,21 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, mixing, packing, simhash, suffixes
-from tidemark.llm.common import ship, stage, table, vocabulary
+from tidemark.llm.common import ship, small_batches, stage, table, vocabulary
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops null texts and texts without a letter. The network's answer fills missing languages and corrects ones it is certain are wrong."""
+    small_batches(spark)
     return language.keep_identified(docs, language.train(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each SimHash class, the one with the smallest id."""
+    small_batches(spark)
     return simhash.drop_near_duplicates(docs)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of 50 bytes or more that a document with a smaller id holds; n_chars follows the text. No row is dropped."""
+    small_batches(spark)
     names = [f"c{i}" for i in range(len(docs.columns))]
     others = {c: n for c, n in zip(docs.columns, names) if c != "text"}
     carry = F.struct(F.col("text").isNull().alias("no_text"), *[F.col(f"`{c}`").alias(n) for c, n in others.items()])
@@ -39,6 +42,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pattern_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all documents into sequences of at most 4096 tokens; one row per piece."""
+    small_batches(spark)
     return packing.pack(docs, vocabulary("word_bpe_49k.json"), "word")
 
 

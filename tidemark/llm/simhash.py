@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, WORD_BYTES, Runs, run_bounds, stage
+from tidemark.llm.common import LOWER, WORD_BYTES, Runs, hand_back, run_bounds, stage
 from tidemark.llm.components import connected
 
 BITS = 64
@@ -68,6 +68,7 @@ def fingerprint(text: str | None) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hand_back()
     for batch in batches:
         values = np.fromiter((fingerprint(t.as_py()) for t in batch.column(1)), dtype=np.uint64, count=batch.num_rows)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
