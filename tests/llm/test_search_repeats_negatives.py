@@ -319,3 +319,37 @@ def test_large_classes_are_collected_whole(spark):
     frame = spark.createDataFrame([(float(v),) for v in values], "n double").repartition(5)
     for limit, want in ((0, 0), (1, 0), (2, 2), (4, 2), (5, 5), (6, 6), (9, 6), (10, 10), (13, 12), (14, 14), (99, 14)):
         assert sorted((r["n"] for r in largest_classes(frame, "n", limit).collect()), reverse=True) == values[:want]
+
+
+def test_steps_of_a_large_group_make_rows_in_proportion():
+    """Copies with words of their own at chance places: twice the copies, twice the rows of all steps, not four times."""
+    import pyarrow as pa
+
+
+    def rows_made(n):
+        chosen = np.random.default_rng(7)
+        words = np.array([f"w{i}" for i in range(84)], dtype=object)
+        texts = []
+        for _ in range(n):
+            mine = words.copy()
+            at = chosen.choice([i for i in range(84) if not 34 <= i < 50], 3, replace=False)
+            mine[at] = [f"x{i}" for i in chosen.integers(0, 1000, 3)]
+            texts.append(" ".join(mine))
+        zero, at = np.zeros(n, dtype=np.int64), np.full(n, 34, dtype=np.int32)
+        ids = pa.array(np.arange(n, dtype=np.int64))
+        columns = [pa.array(zero), ids, ids, pa.array(at), pa.array(np.zeros(n, dtype=np.int32)), pa.array(at), pa.array(at), pa.array(texts)]
+        stretches = seed_extend.Stretches(pa.table(columns, names=["key", "ord", "rid", "pos", "lo", "hi", "before", "words"]), 50, 16)
+        made, plain = [], stretches.step
+
+        def counted(*given):
+            found, more = plain(*given)
+            made.append(len(found[0]) + len(more[0]))
+            return found, more
+
+        stretches.step = counted
+        stretches.finish()
+        return sum(made)
+
+    counts = [rows_made(n) for n in (1000, 2000, 4000, 8000)]
+    print(counts)
+    assert all(b < 2.5 * a for a, b in zip(counts, counts[1:]))
