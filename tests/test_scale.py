@@ -97,3 +97,14 @@ def test_deliveries_keep_tables_only(spark, tmp_path, settings):
     assert not os.path.exists(f"{folder}/events")
     assert not [name for _, _, names in os.walk(f"{folder}/landing") for name in names]
     assert deliveries.gold("fact_order").count() > 0
+
+
+def test_files_are_cut_into_bounded_shares(spark, tmp_path):
+    before = spark.conf.get(session.SPLIT)
+    try:
+        for given, kept in (("128m", str(session.TASK_SHARE)), ("1m", "1m")):
+            spark.conf.set(session.SPLIT, given)
+            session.fit_shuffles(spark, [str(tmp_path / "none.parquet")])
+            assert spark.conf.get(session.SPLIT) == kept
+    finally:
+        spark.conf.set(session.SPLIT, before)
