@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark import session
 from tidemark.llm.common import stage
+from tidemark.operators.succession import seconds_to_next
+from tidemark.plans import runs
 from tidemark.sources.schemas import DATASETS
 from tidemark.suite import fixtures, lake
 
@@ -108,3 +110,58 @@ def test_files_are_cut_into_bounded_shares(spark, tmp_path):
             assert spark.conf.get(session.SPLIT) == kept
     finally:
         spark.conf.set(session.SPLIT, before)
+
+
+def test_large_layers_run_one_table_at_a_time(spark, store, tmp_path, monkeypatch):
+    assert (runs.abreast(runs.LARGE), runs.abreast(runs.LARGE + 1)) == (runs.SIDE_BY_SIDE, 1)
+    seen = []
+    monkeypatch.setattr(runs, "run_all", lambda items, at_once=None: seen.append(at_once) or runs.Summary())
+    monkeypatch.setattr(runs, "gate", lambda *_: runs.Gate("skip"))
+    (tmp_path / "landed.csv").write_text("a" * 10)
+    for table in ("bronze", "silver"):
+        spark.range(10).write.parquet(store.path(table, "orders"))
+    for large in (1, 2**40):
+        monkeypatch.setattr(runs, "LARGE", large)
+        runs.run_bronze(store, dict.fromkeys(DATASETS, str(tmp_path / "landed.csv")), "2024-01-15", "2024-01-15 06:00:00")
+        runs.run_silver(store, "2024-01-15", "2024-01-15 06:00:00")
+        runs.run_gold(store, "2024-01-15", "2024-01-15 06:00:00")
+    layers = 2 + len(runs.GOLD_GROUPS)
+    marks = [None]  # the watermark is a single item
+    assert seen == [1] * layers + marks + [runs.SIDE_BY_SIDE] * layers + marks
+
+
+def test_staged_rows_are_gone_afterwards(spark, store):
+    with store.staged("gold", "t", spark.range(20)) as rows:
+        assert rows.count() == 20 and os.listdir(f"{store.base}/_staging")
+    assert not os.listdir(f"{store.base}/_staging")
+
+
+OWNED = [("a", "2024-01-01 00:00:00", 1), ("a", "2024-01-01 00:00:00", 2), ("a", "2024-01-01 02:00:00", 3), ("a", None, 4), ("a", None, 5),
+         ("b", "2024-01-01 00:00:07", 6), ("b", None, 7), ("c", "2024-01-01 00:00:01", 8), (None, "2024-01-01 00:00:01", 9), (None, None, 10)]
+
+
+def _owned(spark):
+    rows = spark.createDataFrame(OWNED, "session STRING, at STRING, id INT").withColumn("at", F.col("at").cast("timestamp"))
+    owners = spark.createDataFrame([("a", 100), ("b", 200), ("b", 201), ("d", 300), (None, 400)], "session STRING, owner INT")
+    return rows, owners
+
+
+def test_owners_come_with_the_summary_as_by_a_join(spark):
+    rows, owners = _owned(spark)
+    after = seconds_to_next(rows, "session", "at", "id", "gap").join(owners, "session").select("id", "owner", "gap")
+    together = seconds_to_next(rows, "session", "at", "id", "gap", owners).select("id", "owner", "gap")
+    assert sorted(map(tuple, together.collect())) == sorted(map(tuple, after.collect()))
+    assert {r.id: r.gap for r in together.where("owner = 100").collect()} == {1: 0.0, 2: 7200.0, 3: 0.0, 4: 0.0, 5: 0.0}
+
+
+def test_rows_with_owners_are_shuffled_once(spark, settings):
+    rows, owners = _owned(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = seconds_to_next(rows, "session", "at", "id", "gap", owners)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the rows and the summary's parts by group and slot, the summary by slot order, by group and back again, the owners
+    by_group = [line for line in plan.splitlines() if "Exchange hashpartitioning(session" in line and "_slot" not in line]
+    assert len(by_group) == 2, plan  # the summary for its order and the owners; never the rows
