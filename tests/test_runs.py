@@ -8,6 +8,7 @@ from tidemark.plans import gold, runs
 from tidemark.plans.bronze import to_bronze
 from tidemark.plans.watermark import Watermark
 from tidemark.sources.catalog import GOLD_TABLES, gold_table
+from tidemark.sources import tables
 from tidemark.sources.schemas import DATASETS
 from tidemark.sources.tables import TableStore
 
@@ -134,6 +135,17 @@ def test_a_funnel_increment_reads_new_events_only(spark, lake):
     assert text(delta) == text(whole.where("customer_id = 7")) and delta.count() == 2
 
 
+def test_shares_of_sessions_make_the_same_increment(lake, monkeypatch):
+    store = lake[0]
+    monkeypatch.setattr(tables, "AT_ONCE", store.bytes_under(store.path("silver", "events")) // 3)
+    silver, dims = runs.read_silver(store), runs._dims(store)
+    parts = runs._by_sessions(store, {name: silver[name] for name in ("events", "sessions")})
+    whole = gold.delta_rows("fact_web_events", silver, D1, dims)
+    cut = [gold.delta_rows("fact_web_events", {**silver, **part}, D1, dims) for part in parts]
+    text = lambda frames: sorted(str(tuple(r)) for frame in frames for r in frame.collect())
+    assert len(parts) > 2 and text(cut) == text([whole]) and whole.count() > 0
+
+
 def test_increment_keeps_keys(lake):
     store, _, _, keys = lake
     for table, before in keys.items():

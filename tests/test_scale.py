@@ -11,6 +11,7 @@ from tidemark import session
 from tidemark.llm.common import stage
 from tidemark.operators.succession import seconds_to_next
 from tidemark.plans import runs
+from tidemark.sources import tables
 from tidemark.sources.schemas import DATASETS
 from tidemark.suite import fixtures, lake
 
@@ -165,3 +166,29 @@ def test_rows_with_owners_are_shuffled_once(spark, settings):
     # the rows and the summary's parts by group and slot, the summary by slot order, by group and back again, the owners
     by_group = [line for line in plan.splitlines() if "Exchange hashpartitioning(session" in line and "_slot" not in line]
     assert len(by_group) == 2, plan  # the summary for its order and the owners; never the rows
+
+
+def _moved(spark, store, monkeypatch, at_once):
+    """A table merged twice, rows moving between partitions, with jobs of at most ``at_once`` bytes; and the partitions of each job."""
+    monkeypatch.setattr(tables, "AT_ONCE", at_once)
+    jobs, replace = [], store._replace_partitions
+    monkeypatch.setattr(store, "_replace_partitions", lambda path, rows, by, wanted: jobs.append(sorted(wanted)) or replace(path, rows, by, wanted))
+    first = spark.range(40).selectExpr("id AS k", "concat('p', id % 5) AS part", "'old' AS v")
+    later = [
+        spark.range(20, 30).selectExpr("id AS k", "nullif(concat('p', (id + 1) % 5), 'p3') AS part", "'new' AS v"),
+        spark.range(38, 45).selectExpr("id AS k", "concat('p', id % 7) AS part", "'new' AS v"),
+    ]
+    for rows in (first, later, later):
+        store.upsert("gold", "moved", rows, ["k"], "key", "part") if store.exists("gold", "moved") else store.overwrite(
+            "gold", "moved", rows.selectExpr("k + 100 AS key", "*"), "part"
+        )
+    stored = store.read("gold", "moved").select("key", "k", "part", "v")
+    return sorted(map(tuple, stored.collect()), key=str), jobs
+
+
+def test_a_merge_rewrites_partitions_in_bounded_jobs(spark, tmp_path, monkeypatch):
+    at_once, whole = _moved(spark, tables.TableStore(spark, str(tmp_path / "a")), monkeypatch, 2**40)
+    one_by_one, cut = _moved(spark, tables.TableStore(spark, str(tmp_path / "b")), monkeypatch, 1)
+    assert one_by_one == at_once and len(at_once) == 45 and len({row[0] for row in at_once}) == 45
+    assert len(whole) == 2 and all(len(job) == 1 for job in cut)
+    assert sorted(part for job in cut for part in job) == sorted(part for job in whole for part in job)
