@@ -192,3 +192,9 @@ def test_a_merge_rewrites_partitions_in_bounded_jobs(spark, tmp_path, monkeypatc
     assert one_by_one == at_once and len(at_once) == 45 and len({row[0] for row in at_once}) == 45
     assert len(whole) == 2 and all(len(job) == 1 for job in cut)
     assert sorted(part for job in cut for part in job) == sorted(part for job in whole for part in job)
+
+
+def test_lines_are_shuffled_once_by_order_for_events(spark, settings):
+    plan = fixtures.raw(spark, "/root/testdata/sf0.001", "events")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and "order_id" in line]
+    assert len(exchanges) == 2 and not any("product_id" in line.split("]")[0] for line in exchanges), plan
