@@ -188,7 +188,7 @@ def _moved(spark, store, monkeypatch, at_once):
 
 def test_a_merge_rewrites_partitions_in_bounded_jobs(spark, tmp_path, monkeypatch):
     at_once, whole = _moved(spark, tables.TableStore(spark, str(tmp_path / "a")), monkeypatch, 2**40)
-    one_by_one, cut = _moved(spark, tables.TableStore(spark, str(tmp_path / "b")), monkeypatch, 1)
+    one_by_one, cut = _moved(spark, tables.TableStore(spark, str(tmp_path / "b")), monkeypatch, 1000)
     assert one_by_one == at_once and len(at_once) == 45 and len({row[0] for row in at_once}) == 45
     assert len(whole) == 2 and all(len(job) == 1 for job in cut)
     assert sorted(part for job in cut for part in job) == sorted(part for job in whole for part in job)
