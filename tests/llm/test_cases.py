@@ -80,6 +80,26 @@ def test_suffix_sort_survives_collisions():
     check(broken.classes())
 
 
+def test_suffixes_that_differ_early_are_not_compared(monkeypatch):
+    rng = np.random.default_rng(2)
+    raw = rng.integers(0, 256, 5000).astype(np.uint8)
+    starts, bounds = np.arange(4900), np.array([0, 0, 2000, 2001, 4900, 4900])
+    windows = [raw[s : s + 50].tobytes() for s in starts]
+    compared = []
+    above = suffixes.Suffixes.above
+    monkeypatch.setattr(suffixes.Suffixes, "above", lambda self, a, b: (compared.append(len(a)), above(self, a, b))[1])
+    order = suffixes.Suffixes(raw, starts, bounds).order()
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        assert [windows[i] for i in order[lo:hi]] == sorted(windows[lo:hi])
+    assert sum(compared) == 0
+    # a passage that comes again is compared with itself only
+    raw[4000:4200] = raw[100:300]
+    windows = [raw[s : s + 50].tobytes() for s in starts]
+    order = suffixes.Suffixes(raw, starts).order()
+    assert [windows[i] for i in order] == sorted(windows)
+    assert 0 < sum(compared) <= 2 * 200
+
+
 def test_split_groups_agree(docs, monkeypatch):
     want = sorted(map(tuple, suffixes.remove_repeats(docs).select("doc_id", "n_removed", "kept_sha256").fillna(-1).collect()))
     monkeypatch.setattr(suffixes, "GROUP", 1)

@@ -6,7 +6,8 @@ two documents go on (a bit table of fixed size holds them; false hits only cost
 and neighbours in the order with a common extension of ``length`` bytes or more are the same window.
 
 The sort is a bottom-up mergesort whose comparisons are logarithmic: prefix polynomial hashes tell whether two suffixes share
-their first m bytes, a binary search finds the common extension, the next byte decides. Neighbours' extensions are then
+their first m bytes, a binary search finds the common extension, the next byte decides. It begins with suffixes dealt by their
+first eight bytes, read as one number, so only those that share them are merged. Neighbours are then
 verified byte by byte; where a hash collided, the group is sorted again by its bytes.
 """
 
@@ -184,11 +185,26 @@ class Suffixes:
             before = ~self.above(other, mine) if upper else self.above(mine, other)
             lo[open_[before]], hi[open_[~before]] = middle[before] + 1, middle[~before]
 
+    def _dealt(self) -> tuple[np.ndarray, np.ndarray]:
+        """Suffixes in the order of their first eight bytes, group by group, and the bounds of those that share them."""
+        if self.length < 8 or not len(self.starts):
+            return np.arange(len(self.starts)), self.bounds
+        # big-endian numbers compare as their bytes do
+        head = np.ndarray(len(self.raw) - 7, dtype=">u8", buffer=np.ascontiguousarray(self.raw), strides=(1,))[self.starts].astype(np.uint64)
+        group = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+        order = np.lexsort((head, group))
+        head = head[order]
+        new = head[1:] != head[:-1]
+        edges = self.bounds[(self.bounds > 0) & (self.bounds < len(order))]
+        new[edges - 1] = True
+        return order, np.concatenate(([0], np.flatnonzero(new) + 1, [len(order)]))
+
     def order(self) -> np.ndarray:
-        """Bottom-up mergesort: in each round every pair of neighbouring sorted runs is merged by ranking into each other."""
-        sizes = np.diff(self.bounds)
-        order, width = np.arange(len(self.starts)), 1
-        begin, end = np.repeat(self.bounds[:-1], sizes), np.repeat(self.bounds[1:], sizes)
+        """Bottom-up mergesort of suffixes that share their first bytes: in each round every pair of neighbouring sorted runs is merged
+        by ranking into each other."""
+        order, bounds = self._dealt()
+        sizes, width = np.diff(bounds), 1
+        begin, end = np.repeat(bounds[:-1], sizes), np.repeat(bounds[1:], sizes)
         place = np.flatnonzero(end - begin > 1)
         while len(place):
             first, last = begin[place], end[place]
@@ -208,7 +224,8 @@ class Suffixes:
     def classes(self) -> np.ndarray:
         """A number per suffix, equal exactly for equal windows of one group. Verified on bytes."""
         order = self.order()
-        same = self.extension(order[:-1], order[1:]) >= self.length
+        x, y = self.starts[order[:-1]], self.starts[order[1:]]
+        same = span(self.prefix, x, x + self.length) == span(self.prefix, y, y + self.length)
         border = np.zeros(len(same) + 1, dtype=bool)
         border[self.bounds[1:-1]] = True
         if not self._verified(order, same, border[1:]):
