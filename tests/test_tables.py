@@ -23,6 +23,24 @@ def test_missing_tables(store):
         store.bronze("x")
 
 
+def test_declared_columns_are_read_without_a_job(spark, store):
+    kinds = "a BIGINT, b STRING, c TIMESTAMP, d DECIMAL(28,6), e DATE, f ARRAY<STRUCT<x: INT, y: DOUBLE>>, part_month INT"
+    empty = spark.createDataFrame([], kinds)
+    store.overwrite("gold", "t", empty)
+    context = spark.sparkContext
+    context.setJobGroup("declared-columns", "reading them")
+    try:
+        assert store.schema("gold", "t") == empty.schema == store.read("gold", "t").schema
+        assert store.schema("gold", "none") is None
+        assert not context.statusTracker().getJobIdsForGroup("declared-columns")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+    # columns that another writer declared count at once
+    TableStore(spark, store.base).overwrite("gold", "t", spark.range(1).select("id"))
+    assert store.schema("gold", "t").names == ["id"]
+
+
 def test_overwrite_from_itself(spark, store):
     for by in (None, "p"):
         store.overwrite("gold", f"t_{by}", spark.range(3).selectExpr("id AS a", "id % 2 AS p"), by)
