@@ -48,8 +48,7 @@ def test_writes_drop_their_shuffle_files(spark, tmp_path, settings):
 
 
 def test_a_side_of_unknown_size_is_broadcast_only_if_small(spark, tmp_path, settings, monkeypatch):
-    names = (session.BROADCAST, session.BROADCAST_SEEN)
-    before = {name: spark.conf.get(name, None) for name in names}
+    before = spark.conf.get(session.BROADCAST)
 
     def plan():
         left, right = (spark.read.parquet(str(tmp_path / side)) for side in ("left", "right"))
@@ -61,18 +60,15 @@ def test_a_side_of_unknown_size_is_broadcast_only_if_small(spark, tmp_path, sett
         # three quarters of a megabyte in its file, five in memory
         monkeypatch.setattr(session, "BROADCAST_UNSEEN", 2**19)
         spark.conf.set(session.BROADCAST, "10m")
-        spark.conf.unset(session.BROADCAST_SEEN)
         assert "BroadcastHashJoin" in plan()
         session.fit_shuffles(spark, [])
         assert "SortMergeJoin" in plan()
-        assert spark.conf.get(session.BROADCAST_SEEN) == "10m"
         for lower in ("1k", "-1"):
             spark.conf.set(session.BROADCAST, lower)
             session.fit_shuffles(spark, [])
             assert spark.conf.get(session.BROADCAST) == lower
     finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+        spark.conf.set(session.BROADCAST, before)
 
 
 def test_partitions_follow_the_input(spark, tmp_path, settings, monkeypatch):
